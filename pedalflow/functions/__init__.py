@@ -2,7 +2,7 @@
 
 from .clock import epoch_seconds, event_time, hour_of, is_weekend, weekday_of
 from .measures import utilization
-from .parsing import lenient, parse_json, wire_schema
+from .parsing import lenient, object_keys, parse_json, wire_schema
 
 __all__ = [
     "epoch_seconds",
@@ -10,6 +10,7 @@ __all__ = [
     "hour_of",
     "is_weekend",
     "lenient",
+    "object_keys",
     "parse_json",
     "utilization",
     "weekday_of",

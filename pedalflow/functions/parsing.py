@@ -4,8 +4,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
-CORRUPT = "_corrupt_record"
-
 
 def wire_schema(kind: DataType) -> DataType:
     """The same nesting with every scalar read as text.
@@ -25,15 +23,13 @@ def lenient(text: Column, kind: DataType) -> Column:
     return text if isinstance(kind, StringType) else text.try_cast(kind)
 
 
-def parse_json(text, schema: StructType, keep_corrupt=False) -> Column:
-    """JSON text as a struct of texts shaped like ``schema``.
+def parse_json(text, schema: StructType) -> Column:
+    """JSON text as a struct of texts shaped like ``schema``; broken text gives nulls."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.from_json(text.cast("string"), wire_schema(schema), {"mode": "PERMISSIVE"})
+
 
-    With ``keep_corrupt`` the struct also carries the text of records that are no JSON object.
-    """
+def object_keys(text) -> Column:
+    """The top-level keys of a JSON object, null for text that is no complete JSON object."""
     text = F.col(text) if isinstance(text, str) else text
-    wire = wire_schema(schema)
-    options = {"mode": "PERMISSIVE"}
-    if keep_corrupt:
-        wire = StructType([*wire.fields, StructField(CORRUPT, StringType())])
-        options["columnNameOfCorruptRecord"] = CORRUPT
-    return F.from_json(text.cast("string"), wire, options)
+    return F.json_object_keys(text.cast("string"))

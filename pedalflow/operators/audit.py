@@ -5,8 +5,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsing import CORRUPT
 from .clean import has_text
+from .decode import CORRUPT
 
 LOADED = "loaded"
 

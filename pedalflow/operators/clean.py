@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_CITY, DEFAULT_STATION_NAME
 from ..functions.clock import epoch_seconds
-from ..functions.parsing import lenient, parse_json
+from ..functions.parsing import lenient, object_keys, parse_json
 from ..schemas import WEATHER_DOCUMENT, WEATHER_READING
 
 FLAGS = ("is_installed", "is_renting", "is_returning")
@@ -42,11 +42,10 @@ def flatten_weather(documents: DataFrame, ingest_col=None, keep=(), document="va
     every measure null, so a gap in the feed stays visible. Without ``ingest_col`` the ingest time is now.
     """
     ingest = F.current_timestamp() if ingest_col is None else F.col(ingest_col)
-    fields = F.json_object_keys(F.col(document).cast("string"))
     read = documents.select(
         *keep,
         epoch_seconds(ingest).alias("ingested"),
-        (F.coalesce(F.size(fields), F.lit(0)) > 0).alias("present"),
+        (F.coalesce(F.size(object_keys(document)), F.lit(0)) > 0).alias("present"),
         parse_json(document, WEATHER_DOCUMENT).alias("w"),
     )
     sources = {

@@ -4,25 +4,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ..functions.parsing import CORRUPT, lenient, parse_json
+from ..functions.parsing import lenient, object_keys, parse_json
+
+CORRUPT = "_corrupt_record"
 
 
 def _typed(record: str, schema: StructType):
     return [lenient(F.col(record)[f.name], f.dataType).alias(f.name) for f in schema.fields]
 
 
-def decode_messages(messages: DataFrame, schema: StructType, keep=(), keep_corrupt=False) -> DataFrame:
-    """Parse the ``value`` of each message by ``schema`` and flatten it to columns.
+def decode_messages(messages: DataFrame, schema: StructType, columns=None, keep=(), keep_corrupt=False) -> DataFrame:
+    """Parse the ``value`` of each message and flatten it to the columns of ``schema``.
+
+    A field that does not fit its type becomes null, a value that is no JSON gives a row of nulls. ``columns`` limits
+    the fields that are taken out of the text. ``keep`` names envelope columns to carry along (say ``timestamp`` and
+    ``offset``). ``keep_corrupt`` adds a column with the text of broken values.
 
-    A field that does not fit its type becomes null, a value that is no JSON gives a row of nulls. ``keep`` names
-    envelope columns to carry along (say ``timestamp`` and ``offset``). ``keep_corrupt`` adds the text of broken
-    values, which turns off the pruning of unused JSON fields.
+    The fields come out of a generator: no later filter can be pushed through it, which would parse the text once more
+    for the filter.
     """
-    parsed = messages.select(*keep, parse_json("value", schema, keep_corrupt).alias("data"))
-    columns = _typed("data", schema)
+    fields = [f for f in schema.fields if columns is None or f.name in columns]
+    value = F.col("value").cast("string")
+    carried = list(keep)
     if keep_corrupt:
-        columns.append(F.col("data")[CORRUPT].alias(CORRUPT))
-    return parsed.select(*keep, *columns)
+        messages = messages.withColumn(CORRUPT, F.when(object_keys("value").isNull(), value))
+        carried.append(CORRUPT)
+    names = [f.name for f in fields]
+    texts = messages.select(*carried, F.json_tuple(value, *names).alias(*names))
+    return texts.select(*keep, *[lenient(F.col(f.name), f.dataType).alias(f.name) for f in fields], *carried[len(keep) :])
 
 
 def explode_stations(documents: DataFrame, schema: StructType, keep=(), document="value") -> DataFrame:

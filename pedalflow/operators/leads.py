@@ -42,40 +42,27 @@ def lead_by_rows(
     """Add the values of the row ``n`` rows later in the same city, whatever time lies between.
 
     The timeline of a city is cut into calendar chunks (any unit of ``trunc``), and each chunk is a window partition of
-    its own, so a long or fine-grained timeline is not sorted in one task. The last ``n`` rows of a chunk take their
-    values from the first rows of the chunks that follow; those heads are at most ``n`` rows per chunk.
+    its own, so a long or fine-grained timeline is not sorted in one task. Each chunk borrows the first ``n`` rows that
+    follow it, which the window needs at the end of the chunk; only these heads, at most ``n`` per chunk, are lined up
+    per city.
     """
     columns = columns or LEADS
-    value = F.struct(*[F.col(source).alias(name) for source, name in columns.items()])
+    needed = [order, *[c for c in columns if c != order]]
     chunked = summary.withColumn("_chunk", F.trunc(F.to_date(order), chunk))
-    whole = Window.partitionBy(*keys, "_chunk")
-    line = whole.orderBy(order)
+    line = Window.partitionBy(*keys, "_chunk").orderBy(order)
 
-    inside = chunked.select(
-        *summary.columns,
-        "_chunk",
-        F.lead(value, n).over(line).alias("_inside"),
-        (F.count(F.lit(1)).over(whole) - F.row_number().over(line)).cast("int").alias("_after"),
-    )
     heads = (
-        chunked.select(*keys, "_chunk", value.alias("_value"), F.row_number().over(line).alias("_n"))
+        chunked.select(*keys, "_chunk", F.struct(*needed).alias("_row"), F.row_number().over(line).alias("_n"))
         .where(F.col("_n") <= n)
         .groupBy(*keys, "_chunk")
-        .agg(F.sort_array(F.collect_list(F.struct("_n", "_value"))).alias("_heads"))
+        .agg(F.sort_array(F.collect_list(F.struct("_n", "_row"))).alias("_heads"))
     )
     following = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(1, n)
-    coming = heads.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.col("_chunk").alias("_at"),
-        F.flatten(F.collect_list("_heads").over(following)).alias("_coming"),
-    )
-    match = F.col("_chunk").eqNullSafe(F.col("_at"))
-    for k in keys:
-        match &= F.col(k).eqNullSafe(F.col(f"_{k}"))
-    beyond = F.get("_coming", F.lit(n - 1) - F.col("_after"))["_value"]
-    picked = F.when(F.col("_after") >= n, F.col("_inside")).otherwise(beyond)
-    return (
-        inside.join(coming, match, "left")
-        .withColumn("_picked", picked)
-        .select(*summary.columns, *[F.col("_picked")[name].alias(name) for name in columns.values()])
+    borrowed = (
+        heads.withColumn("_next", F.slice(F.flatten(F.collect_list("_heads").over(following)), 1, n))
+        .select(*keys, "_chunk", F.explode("_next").alias("_next"))
+        .select(*keys, "_chunk", "_next._row.*", F.lit(True).alias("_borrowed"))
     )
+    padded = chunked.withColumn("_borrowed", F.lit(False)).unionByName(borrowed, allowMissingColumns=True)
+    leads = [F.lead(source, n).over(line).alias(name) for source, name in columns.items()]
+    return padded.select(*summary.columns, "_borrowed", *leads).where(~F.col("_borrowed")).drop("_borrowed")

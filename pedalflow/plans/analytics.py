@@ -10,12 +10,31 @@ from ..operators.usage import usage_summary, utilization_by_window, weather_by_w
 from ..schemas import STATION_INFO, STATION_STATUS, WEATHER
 
 
-def decoded_status(messages: DataFrame, epoch_col="event_timestamp") -> DataFrame:
-    return with_event_time(decode_messages(messages, STATION_STATUS), epoch_col)
+# What the usage summary needs of a message, besides its time.
+_STATUS_USED = ["num_bikes_available", "num_docks_available", "city"]
+_WEATHER_USED = ["temperature", "wind_speed", "cloudiness", "precipitation", "city"]
 
 
-def decoded_weather(messages: DataFrame, epoch_col="event_timestamp") -> DataFrame:
-    return with_event_time(decode_messages(messages, WEATHER), epoch_col)
+def decoded_status(messages: DataFrame, columns=None, epoch_col="event_timestamp") -> DataFrame:
+    """Status messages as rows with ``event_time``; ``columns`` are the only fields needed beside the time."""
+    columns = columns and [*columns, epoch_col]
+    return with_event_time(decode_messages(messages, STATION_STATUS, columns), epoch_col)
+
+
+def decoded_weather(messages: DataFrame, columns=None, epoch_col="event_timestamp") -> DataFrame:
+    """Weather messages as rows with ``event_time``."""
+    columns = columns and [*columns, epoch_col]
+    return with_event_time(decode_messages(messages, WEATHER, columns), epoch_col)
+
+
+def utilization_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None) -> DataFrame:
+    """Windowed utilization of status messages; a stream needs ``delay``."""
+    return utilization_by_window(decoded_status(messages, _STATUS_USED), grain, delay)
+
+
+def weather_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None) -> DataFrame:
+    """Windowed weather of weather messages; a stream needs ``delay``."""
+    return weather_by_window(decoded_weather(messages, _WEATHER_USED), grain, delay)
 
 
 def station_snapshot(messages: DataFrame) -> DataFrame:
@@ -31,6 +50,5 @@ def usage_from_messages(status: DataFrame, weather: DataFrame, grain=GRAIN_30M,
     The station list has no part in it: the summary uses none of its columns, so joining it would only move data.
     """
     return usage_summary(
-        utilization_by_window(decoded_status(status), grain, delay),
-        weather_by_window(decoded_weather(weather), grain, delay),
+        utilization_from_messages(status, grain, delay), weather_from_messages(weather, grain, delay)
     )

@@ -15,7 +15,13 @@ from ..sources.summary import read_summary, write_summary
 from ..streaming.jobs import finish
 from ..streaming.sinks import start_files, start_summary_sink
 from . import forecast as fc
-from .analytics import decoded_status, decoded_weather, station_snapshot, usage_from_messages
+from .analytics import (
+    decoded_weather,
+    station_snapshot,
+    usage_from_messages,
+    utilization_from_messages,
+    weather_from_messages,
+)
 
 # One city for all events: every half hour then has enough rows for leads and forecasts.
 METRO = "metro"
@@ -267,13 +273,13 @@ def stream_usage_summary_1m(spark, folder):
 
 
 def stream_utilization(spark, folder):
-    rows = decoded_status(_status_messages(spark, folder, stream=True))
-    return _run_files(spark, op.flat_window(op.utilization_by_window(rows, GRAIN_30M, DELAY_30M)), "utilization")
+    windows = utilization_from_messages(_status_messages(spark, folder, stream=True), GRAIN_30M, DELAY_30M)
+    return _run_files(spark, op.flat_window(windows), "utilization")
 
 
 def stream_weather_windows(spark, folder):
-    rows = decoded_weather(_weather_messages(spark, folder, stream=True))
-    return _run_files(spark, op.flat_window(op.weather_by_window(rows, GRAIN_30M, DELAY_30M)), "weather")
+    windows = weather_from_messages(_weather_messages(spark, folder, stream=True), GRAIN_30M, DELAY_30M)
+    return _run_files(spark, op.flat_window(windows), "weather")
 
 
 def stream_status_enriched(spark, folder):

@@ -4,12 +4,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import DELAY_30M, GRAIN_30M, STATUS_CYCLE, WEATHER_CYCLE
-from ..operators.decode import decode_messages
 from ..operators.enrich import enrich_status
-from ..operators.usage import flat_window, utilization_by_window, weather_by_window, with_event_time
-from ..plans.analytics import decoded_status, decoded_weather, station_snapshot, usage_from_messages
+from ..operators.usage import flat_window
+from ..plans.analytics import (
+    decoded_status,
+    decoded_weather,
+    station_snapshot,
+    usage_from_messages,
+    utilization_from_messages,
+    weather_from_messages,
+)
 from ..plans.publish import status_messages, weather_messages
-from ..schemas import WEATHER
 from ..session import stored
 from ..sources.channels import Channel, read_messages, start_messages, stream_messages
 from .sinks import show_sorted, start_batches, start_console, start_files, start_summary_sink
@@ -63,8 +68,8 @@ def start_window_monitors(
     every=None,
 ) -> list[StreamingQuery]:
     """Print the two windowed aggregates, each as soon as its own feed has passed the window."""
-    util = utilization_by_window(decoded_status(stream_messages(spark, status)), grain, delay)
-    air = weather_by_window(decoded_weather(stream_messages(spark, weather)), grain, delay)
+    util = utilization_from_messages(stream_messages(spark, status), grain, delay)
+    air = weather_from_messages(stream_messages(spark, weather), grain, delay)
     return [
         start_batches(flat_window(rows), [show_sorted(label)], f"{checkpoint}/{label}", every)
         for label, rows in {"utilization": util, "weather": air}.items()
@@ -85,7 +90,7 @@ def start_enrich_job(
 
 def start_weather_console(spark: SparkSession, weather: Channel, every=None) -> StreamingQuery:
     """Print weather messages as they come."""
-    return start_console(with_event_time(decode_messages(stream_messages(spark, weather), WEATHER)), every)
+    return start_console(decoded_weather(stream_messages(spark, weather)), every)
 
 
 def start_status_publisher(
