@@ -31,7 +31,7 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """
     if not facts.isStreaming:
         return facts.join(lookup, key, "left")
-    if lookup.select(key).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if lookup.count() <= BROADCAST_ROWS:
         return facts.join(F.broadcast(lookup), key, "left")
     return salted_join(facts, lookup, key)
 

@@ -18,9 +18,9 @@ def histogram(rows: DataFrame, column: str, bins=HISTOGRAM_BINS) -> DataFrame:
     out. The two bounds are a scalar subquery, so nothing passes through the driver and no row meets another.
     """
     values = rows.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
-    lowest, highest = values.agg(F.min("v")).scalar(), values.agg(F.max("v")).scalar()
-    low = F.when(lowest == highest, lowest - 0.5).otherwise(lowest)
-    high = F.when(lowest == highest, highest + 0.5).otherwise(highest)
+    bounds = values.agg(F.struct(F.min("v").alias("least"), F.max("v").alias("most")).alias("bounds")).scalar()
+    margin = F.when(bounds["least"] == bounds["most"], 0.5).otherwise(0.0)
+    low, high = bounds["least"] - margin, bounds["most"] + margin
     bin_of = F.least(F.floor((F.col("v") - low) * bins / (high - low)), F.lit(bins - 1)).cast("int")
     counts = values.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"))
     all_bins = rows.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..constants import DEFAULT_CITY, DELAY_1M, DELAY_30M, GRAIN_1M, GRAIN_30M
 from ..schemas import STATION_INFO, STATION_STATUS, WEATHER
-from ..session import fresh_path, stored
+from ..session import fresh_path, state_partitions, stored
 from ..sources import tables as src
 from ..sources.summary import read_summary, write_summary
 from ..streaming.jobs import finish
@@ -249,9 +249,17 @@ def util_histogram(spark, folder):
 # Streams. Each runs over all that is there and ends; the rows are read back from its sink.
 
 
+def _few_partitions(spark):
+    """No more state partitions than cores."""
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return state_partitions(spark, min(now, spark.sparkContext.defaultParallelism))
+
+
 def _run_files(spark, rows, label):
     path = fresh_path(spark, label)
-    finish(start_files(rows, path, fresh_path(spark, "progress")))
+    with _few_partitions(spark):
+        query = start_files(rows, path, fresh_path(spark, "progress"))
+    finish(query)
     return tidy(spark.read.schema(rows.schema).parquet(path))
 
 
@@ -260,7 +268,9 @@ def _run_summary(spark, folder, grain, delay):
         _status_messages(spark, folder, stream=True), _weather_messages(spark, folder, stream=True), grain, delay
     )
     path = fresh_path(spark, "usage-stream")
-    finish(start_summary_sink(summary, path, fresh_path(spark, "progress"), grain))
+    with _few_partitions(spark):
+        query = start_summary_sink(summary, path, fresh_path(spark, "progress"), grain)
+    finish(query)
     return tidy(read_summary(spark, path, grain=grain))
 
 

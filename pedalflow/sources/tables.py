@@ -4,6 +4,8 @@ Events that are no page views become station states, page views become weather r
 Each function gives a batch table or, with ``stream=True``, the same rows as a stream.
 """
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +14,15 @@ from ..operators.clean import clean_station_status
 from ..operators.enrich import lookup_join
 
 
+@cache
+def _schema(spark: SparkSession, path: str):
+    """The schema of a table, looked up once per session: each look-up is a job that opens files."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def _events(spark, folder, stream):
@@ -24,17 +33,18 @@ def _events(spark, folder, stream):
     return spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
 
 
-def user_cities(spark: SparkSession, folder: str) -> DataFrame:
-    """The region of each customer.
+def _with_city(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Add the region of the user.
 
-    The place tables have 25 and 5 rows at every scale, so they are broadcast; a shuffle on 25 nations would be lopsided.
+    Customers are joined straight from their table, whose file size tells the optimizer whether to broadcast it. The
+    place tables have 25 and 5 rows at every scale and are always broadcast; a shuffle on 25 nations would be lopsided.
     """
+    users = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    places = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
-    customer = table(spark, folder, "customer")
-    return customer.join(F.broadcast(places), customer.c_nationkey == places.n_nationkey, "left").select(
-        F.col("c_custkey").alias("user_id"), F.col("r_name").alias("city")
+    places = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("city")
     )
+    return lookup_join(rows, users, "user_id").join(F.broadcast(places), "c_nationkey", "left").drop("c_nationkey")
 
 
 def located_events(spark: SparkSession, folder: str, kept, city=None, stream=False) -> DataFrame:
@@ -49,7 +59,7 @@ def located_events(spark: SparkSession, folder: str, kept, city=None, stream=Fal
     )
     if city is not None:
         return rows.withColumn("city", F.lit(city))
-    return lookup_join(rows, user_cities(spark, folder), "user_id")
+    return _with_city(rows, spark, folder)
 
 
 def status_raw(spark: SparkSession, folder: str, city=None, stream=False) -> DataFrame:

@@ -51,22 +51,19 @@ def save_summary(path: str, grain: str, fmt="parquet"):
 def start_batches(rows: DataFrame, functions, checkpoint: str, every=None) -> StreamingQuery:
     """Give each non-empty micro-batch to all ``functions``, each called with the batch and its number.
 
-    One query serves any number of outputs: sources are read and state is kept once. With several functions the batch is
-    kept in memory or on disk between them.
+    One query serves any number of outputs: sources are read and state is kept once. The batch is kept until all are
+    done with it, or else each of them, and the check for rows, would run the stateful plan again.
     """
     functions = list(functions)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if len(functions) > 1:
-            batch.persist()
+        batch.persist()
         try:
-            if batch.isEmpty():
-                return
-            for function in functions:
-                function(batch, batch_id)
+            if not batch.isEmpty():
+                for function in functions:
+                    function(batch, batch_id)
         finally:
-            if len(functions) > 1:
-                batch.unpersist()
+            batch.unpersist()
 
     writer = rows.writeStream.foreachBatch(handle).outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger_of(every)).start()
