@@ -1,0 +1,232 @@
+"""Streams give the rows of the batch, drop what is late, keep little state and survive a restart."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import bag, rows, utc
+from pedalflow import operators as op
+from pedalflow import sources, streaming
+from pedalflow.operators.decode import CORRUPT
+from pedalflow.plans import queries as q
+from pedalflow.plans.analytics import decoded_status, decoded_weather, usage_from_messages
+from pedalflow.schemas import STATION_INFO, STATION_STATUS, WEATHER
+from pedalflow.session import ROCKSDB, state_partitions
+
+DAYS = [("2024-01-01", "2024-01-03"), ("2024-01-03", "2024-01-05"), ("2024-01-05", "2024-01-08")]
+
+
+def stage(messages, schema, folder, first, last, part):
+    """The messages of some days as one file; later calls make later files."""
+    known = op.with_event_time(op.decode_messages(messages, schema, keep=["key", "value"]))
+    chosen = known.where((F.col("event_time") >= first) & (F.col("event_time") < last)).select("key", "value")
+    sources.write_messages(chosen.coalesce(1), sources.file_channel(f"{folder}/part={part}"))
+
+
+@pytest.fixture(scope="module")
+def feeds(spark, small):
+    return (
+        q._status_messages(spark, small, q.METRO).cache(),
+        q._weather_messages(spark, small, q.METRO).cache(),
+    )
+
+
+def staged(feeds, folder, days, start=0):
+    for part, (first, last) in enumerate(days, start):
+        stage(feeds[0], STATION_STATUS, f"{folder}/status", first, last, part)
+        stage(feeds[1], WEATHER, f"{folder}/weather", first, last, part)
+    return tuple(sources.file_channel(f"{folder}/{name}/*", maxFilesPerTrigger="1") for name in ("status", "weather"))
+
+
+def run(spark, channels, folder, **options):
+    with state_partitions(spark, 2):
+        query = streaming.start_usage_job(spark, *channels, f"{folder}/out", f"{folder}/progress", **options)
+    streaming.finish(query)
+    return query
+
+
+def closed_batch(spark, channels, delay="30 minutes"):
+    """The batch result of the same files, without windows that are still open."""
+    status, weather = (
+        sources.read_messages(spark, sources.file_channel(channel.place)) for channel in channels
+    )
+    ends = [decoded(m).agg(F.max("event_time")).first()[0] for decoded, m in
+            ((decoded_status, status), (decoded_weather, weather))]
+    mark = F.lit(min(ends)) - F.expr(f"INTERVAL '{delay}'")
+    return usage_from_messages(status, weather).where(F.col("window_end") <= mark)
+
+
+def test_stream_is_batch_and_state_stays_small(spark, feeds, scratch):
+    channels = staged(feeds, scratch, DAYS)
+    query = run(spark, channels, scratch)
+    result = sources.read_summary(spark, f"{scratch}/out", grain="30 minutes")
+    expected = closed_batch(spark, channels)
+    assert bag(result) == bag(expected) and result.count() > 10
+    progress = query.recentProgress
+    assert len([p for p in progress if p.numInputRows]) == len(DAYS)
+    join_rows = [s.numRowsTotal for p in progress for s in p.stateOperators if s.operatorName == "symmetricHashJoin"]
+    # An open window waits for its partner; none is left at the end.
+    assert max(join_rows) <= 4 and join_rows[-1] == 0
+
+
+def test_late_rows_are_left_out(spark, feeds, scratch):
+    channels = staged(feeds, scratch, DAYS)
+    expected = closed_batch(spark, channels)
+    before = bag(expected)
+    staged(feeds, scratch, [DAYS[0]], start=len(DAYS))
+    query = run(spark, channels, scratch)
+    assert bag(sources.read_summary(spark, f"{scratch}/out", grain="30 minutes")) == before
+    assert sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators) > 0
+
+
+def test_restart_goes_on_where_it_stopped(spark, feeds, scratch):
+    channels = staged(feeds, scratch, DAYS[:1])
+    run(spark, channels, scratch)
+    staged(feeds, scratch, DAYS[1:], start=1)
+    run(spark, channels, scratch)
+    result = bag(sources.read_summary(spark, f"{scratch}/out", grain="30 minutes"))
+    assert result == bag(closed_batch(spark, channels))
+    run(spark, channels, scratch)
+    assert bag(sources.read_summary(spark, f"{scratch}/out", grain="30 minutes")) == result
+
+
+def test_a_failed_batch_is_run_again_without_doubling(spark, feeds, scratch):
+    channels = staged(feeds, scratch, DAYS)
+    summary = usage_from_messages(*[sources.stream_messages(spark, c) for c in channels], delay="30 minutes")
+    calls = []
+
+    def fails_once(batch, batch_id):
+        calls.append(batch_id)
+        if len(calls) == 1:
+            raise RuntimeError("lost after the write")
+
+    def start():
+        with state_partitions(spark, 2):
+            return streaming.start_summary_sink(
+                summary, f"{scratch}/out", f"{scratch}/progress", "30 minutes", also=[fails_once]
+            )
+
+    with pytest.raises(Exception, match="lost after the write"):
+        streaming.finish(start())
+    streaming.finish(start())
+    assert calls[0] == calls[1]
+    assert bag(sources.read_summary(spark, f"{scratch}/out", grain="30 minutes")) == bag(closed_batch(spark, channels))
+
+
+def test_state_in_rocksdb_and_csv_output(spark, feeds, scratch):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        channels = staged(feeds, scratch, DAYS[:2])
+        run(spark, channels, scratch, fmt="csv")
+    finally:
+        spark.conf.set(name, before)
+    result = sources.read_summary(spark, f"{scratch}/out", "csv", "30 minutes")
+    assert bag(result) == bag(closed_batch(spark, channels))
+
+
+def test_rows_without_time_reach_no_window(spark, scratch):
+    texts = ['{"city":"a","temperature":1.0,"event_timestamp":null}', '{"city":"a"}', "broken"]
+    texts += ['{"city":"a","temperature":3.0,"event_timestamp":1704067200}', '{"city":"a","event_timestamp":1704080000}']
+    frame = spark.createDataFrame([(t,) for t in texts], "value string")
+    frame = frame.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+    channel = sources.file_channel(f"{scratch}/weather")
+    sources.write_messages(frame, channel)
+    rows_in = decoded_weather(sources.stream_messages(spark, channel))
+    with state_partitions(spark, 2):
+        query = streaming.start_files(
+            op.flat_window(op.weather_by_window(rows_in, delay="30 minutes")), f"{scratch}/out", f"{scratch}/progress"
+        )
+    streaming.finish(query)
+    got = rows(spark.read.parquet(f"{scratch}/out"), "window_start", "city", "avg_temp")
+    assert got == [(utc("2024-01-01 00:00"), "a", 3.0)]
+
+
+def test_batch_functions_get_full_batches_only(spark, feeds, scratch, capsys):
+    channel = staged(feeds, scratch, DAYS[:2])[1]
+    seen = []
+    stream = decoded_weather(sources.stream_messages(spark, channel))
+    hot = stream.where("event_time >= '2024-01-03'").select("event_time", "temperature")
+    functions = [lambda batch, n: seen.append((n, batch.count())), streaming.show_sorted("hot", "event_time")]
+    streaming.finish(streaming.start_batches(hot, functions, f"{scratch}/progress"))
+    assert [n for n, _ in seen] == [1] and seen[0][1] > 0
+    printed = capsys.readouterr().out
+    assert "hot: batch 1" in printed and "batch 0" not in printed
+
+
+def test_counts_on_the_way(spark, scratch):
+    texts = ["bad", '{"station_id":"1"}', '{"city":"x"}', '{"station_id":"2"}']
+    frame = spark.createDataFrame([(t,) for t in texts], "value string").select(F.col("value").cast("binary"))
+    channel = sources.file_channel(f"{scratch}/m")
+    sources.write_messages(frame.select(F.col("value").alias("key"), "value"), channel)
+    decoded = op.decode_messages(sources.stream_messages(spark, channel), STATION_STATUS, keep_corrupt=True)
+    counted = op.observe_counts(decoded, "audit", op.message_rules()).drop(CORRUPT)
+    query = streaming.start_files(counted, f"{scratch}/out", f"{scratch}/progress")
+    streaming.finish(query)
+    observed = [p.observedMetrics["audit"] for p in query.recentProgress if "audit" in p.observedMetrics]
+    assert [r.asDict() for r in observed][0] == {"loaded": 2, "corrupt": 1, "no_key": 1}
+
+
+def test_monitors_and_console(spark, feeds, scratch, capfd):
+    channels = staged(feeds, scratch, DAYS[:1])
+    with state_partitions(spark, 2):
+        monitors = streaming.start_window_monitors(spark, *channels, f"{scratch}/progress")
+    streaming.finish(*monitors, streaming.start_weather_console(spark, channels[1]))
+    printed = capfd.readouterr().out
+    assert "utilization: batch" in printed and "weather: batch" in printed and "temperature" in printed
+
+
+def test_enrich_job(spark, feeds, scratch):
+    status = staged(feeds, scratch, DAYS[:2])[0]
+    ids = decoded_status(feeds[0]).select("station_id").distinct()
+    stations = ids.select("station_id", F.lit("s").alias("name"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"))
+    info = sources.file_channel(f"{scratch}/info")
+    for places in (5, 6):
+        listed = stations.where("station_id % 2 = 0").withColumn("capacity", F.lit(places))
+        sources.write_messages(op.encode_messages(listed, "station_id", STATION_INFO.names), info)
+    streaming.finish(streaming.start_enrich_job(spark, info, status, f"{scratch}/out", f"{scratch}/progress"))
+    got = spark.read.parquet(f"{scratch}/out")
+    sent = decoded_status(sources.read_messages(spark, sources.file_channel(status.place)))
+    assert bag(got, *STATION_STATUS.names) == bag(sent, *STATION_STATUS.names)
+    even = F.col("station_id").cast("int") % 2 == 0
+    assert got.where(even & ~F.col("capacity").eqNullSafe(F.lit(6))).isEmpty()
+    assert got.where(~even & F.col("capacity").isNotNull()).isEmpty() and got.where(~even).count() > 0
+
+
+def test_large_lookup_is_salted_on_a_stream(spark, feeds, scratch, monkeypatch):
+    from pedalflow.operators import enrich
+
+    monkeypatch.setattr(enrich, "BROADCAST_ROWS", 1)
+    status = staged(feeds, scratch, DAYS[:1])[0]
+    stations = decoded_status(feeds[0]).select("station_id").distinct().withColumn("capacity", F.lit(3))
+    joined = op.enrich_status(decoded_status(sources.stream_messages(spark, status)), stations)
+    streaming.finish(streaming.start_files(joined, f"{scratch}/out", f"{scratch}/progress"))
+    got = spark.read.parquet(f"{scratch}/out")
+    sent = decoded_status(sources.read_messages(spark, sources.file_channel(status.place)))
+    assert bag(got, *STATION_STATUS.names, "capacity") == bag(sent.withColumn("capacity", F.lit(3)), *STATION_STATUS.names, "capacity")
+
+
+def test_publishers(spark, scratch):
+    os.makedirs(f"{scratch}/docs")
+    with open(f"{scratch}/docs/1.json", "w") as f:
+        f.write('{"data":{"stations":[{"station_id":"1","num_bikes_available":2},{"station_id":null}]}}')
+    documents = sources.stream_documents(spark, f"{scratch}/docs", files_per_batch=1)
+    channel = sources.file_channel(f"{scratch}/status")
+    query = streaming.start_status_publisher(documents, channel, f"{scratch}/p1", "Rome", every="1 second")
+    query.processAllAvailable()
+    with open(f"{scratch}/docs/2.json", "w") as f:
+        f.write('{"data":{"stations":[{"station_id":"2"}]}}')
+    query.processAllAvailable()
+    query.stop()
+    sent = op.decode_messages(sources.read_messages(spark, channel), STATION_STATUS)
+    assert rows(sent, "station_id", "num_bikes_available", "city") == [("1", 2, "Rome"), ("2", 0, "Rome")]
+
+    with open(f"{scratch}/air.json", "w") as f:
+        f.write('{"dt":5,"main":{"temp":9.5}}')
+    air = sources.stream_documents(spark, f"{scratch}/air*")
+    channel = sources.file_channel(f"{scratch}/weather")
+    streaming.finish(streaming.start_weather_publisher(air, channel, f"{scratch}/p2", "Rome", every=None))
+    sent = op.decode_messages(sources.read_messages(spark, channel), WEATHER)
+    assert rows(sent, "timestamp", "temperature", "precipitation", "city") == [(5, 9.5, 0.0, "Rome")]
