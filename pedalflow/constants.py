@@ -28,6 +28,6 @@ TIME_AHEAD = "1 hour"
 HISTOGRAM_BINS = 20
 
 # Most rows a lookup table may have to be copied to every executor of a running stream.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 2_000_000
 # Shares a hot lookup key is split into when the table is larger than that.
 LOOKUP_SALTS = 16

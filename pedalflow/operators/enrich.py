@@ -40,17 +40,18 @@ def salted_join(facts: DataFrame, lookup: DataFrame, key: str, salts=LOOKUP_SALT
     """The same left join with every key spread over ``salts`` shuffle keys, by copying the lookup rows.
 
     The salt is the number of the input partition, so a repeated task gives the same salt and even identical rows
-    spread out.
+    spread out. The hint keeps the copies, whose number the optimizer does not see, from being broadcast.
     """
     salted = facts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+    return salted.join(copies.hint("merge"), [key, "_salt"], "left").drop("_salt")
 
 
 def enrich_status(status: DataFrame, stations: DataFrame) -> DataFrame:
     """Add station columns to status rows; rows of unknown stations stay.
 
-    ``stations`` must have one row per station (see :func:`latest_by_key`), otherwise status rows multiply. For a stream
-    it should be a stored snapshot, which the join then reads in each micro-batch.
+    ``stations`` must have one row per station (see :func:`latest_by_key`), otherwise status rows multiply. It should be
+    a stored snapshot: its size is then known, a stream reads it again in each micro-batch, and adaptive execution can
+    only split hot keys where both sides come straight out of a shuffle, not out of an aggregation.
     """
     return lookup_join(status, stations, "station_id")

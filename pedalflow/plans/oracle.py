@@ -160,8 +160,9 @@ SELECT station_id AS key, CAST(to_json({{{fields}}}) AS VARCHAR) AS value
 FROM ({_STATUS_RECORD} FROM fx_status_raw) WHERE station_id <> ''"""
 
 
-_HISTOGRAM = f"""{_usage(one_city=True)},
-v AS (SELECT round(avg_util, 6) AS v FROM usage WHERE avg_util IS NOT NULL),
+def _histogram(before, values):
+    return f"""{before},
+v AS ({values}),
 r AS (SELECT min(v) AS low, max(v) AS high FROM v),
 b AS (SELECT CAST(least(floor((v - low) * 20 / (high - low)), 19) AS INTEGER) AS bin, count(*) AS n
   FROM v, r GROUP BY 1),
@@ -170,6 +171,7 @@ SELECT bin, round(low + bin * (high - low) / 20, 6) AS bin_start, round(low + (b
   COALESCE(n, 0) AS n
 FROM bins LEFT JOIN b USING (bin), r"""
 
+
 _STATUS_COLUMNS = "event_id, station_id, num_bikes_available, num_docks_available, is_renting, city, event_time"
 
 _ENRICHED = f"""{_feeds()},
@@ -229,7 +231,13 @@ SELECT {_FEATURES_OUT} FROM features ORDER BY features.time_t1h DESC, city LIMIT
     "latest_row_per_city": f"""{_features(_lead_exact(), one_city=False)}
 SELECT {_FEATURES_OUT} FROM features
 QUALIFY row_number() OVER (PARTITION BY city ORDER BY features.time_t1h DESC) = 1""",
-    "util_histogram": _HISTOGRAM,
+    "util_histogram": _histogram(
+        _usage(one_city=True), "SELECT round(avg_util, 6) AS v FROM usage WHERE avg_util IS NOT NULL"
+    ),
+    "test_label_histogram_by_time": _histogram(
+        _features(_lead_exact()),
+        f"SELECT round(util_t1h, 6) AS v FROM features WHERE window_start >= TIMESTAMP '{CUTOFF}'",
+    ),
     "stream_usage_summary": f"""{_usage()}
 SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 minutes")}""",
     "stream_usage_summary_1m": f"""{_usage(1)}

@@ -11,6 +11,7 @@ from ..constants import DEFAULT_CITY, DELAY_1M, DELAY_30M, GRAIN_1M, GRAIN_30M
 from ..schemas import STATION_INFO, STATION_STATUS, WEATHER
 from ..session import fresh_path, state_partitions, stored
 from ..sources import tables as src
+from ..sources.channels import file_channel, read_messages, write_messages
 from ..sources.summary import read_summary, write_summary
 from ..streaming.jobs import finish
 from ..streaming.sinks import start_files, start_summary_sink
@@ -87,7 +88,10 @@ def stations_explode(spark, folder):
 
 
 def static_snapshot(spark, folder):
-    return station_snapshot(_info_messages(spark, folder))
+    """The station list as a topic holds it: every record ever sent, of which the latest valid one per station counts."""
+    channel = file_channel(fresh_path(spark, "station-messages"))
+    write_messages(_info_messages(spark, folder), channel)
+    return station_snapshot(read_messages(spark, channel))
 
 
 def station_info_valid(spark, folder):
@@ -134,8 +138,9 @@ def audit_counts(spark, folder):
 
 
 def _stations(spark, folder):
+    """The station snapshot, written down: joins then see its size and have nothing to work out again."""
     valid = op.clean_station_info(src.station_raw(spark, folder))
-    return op.latest_by_key(valid, "station_id", "msg_offset").drop("msg_offset")
+    return stored(op.latest_by_key(valid, "station_id", "msg_offset").drop("msg_offset"), "stations")
 
 
 def status_enriched(spark, folder):
@@ -293,8 +298,8 @@ def stream_weather_windows(spark, folder):
 
 
 def stream_status_enriched(spark, folder):
-    stations = stored(_stations(spark, folder), "stations")
-    return _run_files(spark, op.enrich_status(src.status(spark, folder, stream=True), stations), "enriched")
+    rows = op.enrich_status(src.status(spark, folder, stream=True), _stations(spark, folder))
+    return _run_files(spark, rows, "enriched")
 
 
 def stream_weather_rows(spark, folder):
@@ -347,6 +352,11 @@ def test_label_histogram(spark, folder):
     return tidy(op.histogram(_part(_features(spark, folder), "test"), "util_t1h"))
 
 
+def test_label_histogram_by_time(spark, folder):
+    rows = op.split(op.feature_rows(tidy(_at_rest(spark, folder, METRO))), CUTOFF)
+    return tidy(op.histogram(_part(rows, "test"), "util_t1h"))
+
+
 def forecast_latest(spark, folder):
     fitted, rows = _fitted(spark, folder)
     return tidy(fc.forecast_latest(fitted.model, rows))
@@ -409,6 +419,7 @@ _ALL = [
     forecast_metrics,
     forecast_series,
     test_label_histogram,
+    test_label_histogram_by_time,
     forecast_latest,
     model_roundtrip,
 ]

@@ -1,12 +1,15 @@
 """What the optimizer makes of the queries."""
 
 import re
+from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import plan_of
 from pedalflow.operators import enrich
 from pedalflow.plans import queries as q
+from pedalflow.session import stored
 
 
 def parts(plan, word):
@@ -60,6 +63,41 @@ def test_windows_are_reduced_before_the_only_shuffle(spark, small):
     assert len(parts(plan, "partial_avg")) == 5
 
 
+@contextmanager
+def settings(spark, **values):
+    names = {name.replace("__", "."): str(value) for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_a_hot_station_is_split(spark):
+    """A third of all rows in one station: the join of a large snapshot is split over several tasks."""
+    ids = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).cast("string")
+    facts = spark.range(0, 300_000, 1, 8).select(ids.alias("station_id"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    stations = spark.range(5000).select(F.col("id").cast("string").alias("station_id"), F.col("id").alias("capacity"))
+    stations = stored(stations, "stations")
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold=-1,
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="200KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="200KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor=2,
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions=16,
+    ):
+        joined = enrich.enrich_status(facts, stations)
+        assert joined.where("capacity IS NOT NULL").count() == 300_000
+        widest = joined.groupBy("capacity").agg(F.max("x").alias("x"))
+        widest.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(widest)
+
+
 def test_latest_record_is_reduced_before_the_shuffle(spark, small):
     plan = plan_of(q.QUERIES["static_snapshot"](spark, small))
     assert plan.index("Exchange hashpartitioning") < plan.index("partial_max")
