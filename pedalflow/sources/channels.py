@@ -59,8 +59,12 @@ def stream_messages(spark: SparkSession, channel: Channel) -> DataFrame:
 
 
 def _file_rows(messages: DataFrame) -> DataFrame:
-    """Add what a broker would: publish time, and a number that orders messages published together."""
-    missing = {"timestamp": F.current_timestamp(), "offset": F.monotonically_increasing_id()}
+    """Add what a broker would: publish time, and a number that orders messages published together.
+
+    A stream leaves the number out, since Spark has no running number for streams; its batches differ in time.
+    """
+    number = F.lit(None).cast("long") if messages.isStreaming else F.monotonically_increasing_id()
+    missing = {"timestamp": F.current_timestamp(), "offset": number}
     return messages.withColumns({c: v for c, v in missing.items() if c not in messages.columns}).select(*MESSAGE.names)
 
 
@@ -73,12 +77,16 @@ def write_messages(messages: DataFrame, channel: Channel) -> None:
         _file_rows(messages).write.mode("append").parquet(channel.place)
 
 
+def trigger_of(every=None) -> dict:
+    """Run every ``every``, or once over all that is there now."""
+    return {"processingTime": every} if every else {"availableNow": True}
+
+
 def start_messages(messages: DataFrame, channel: Channel, checkpoint: str, every=None) -> StreamingQuery:
     """Publish a stream of encoded messages, every ``every`` or once over what is there."""
-    trigger = {"processingTime": every} if every else {"availableNow": True}
     if channel.kind == KAFKA:
         writer = messages.select("key", "value").writeStream.format("kafka").options(**channel.options)
         writer = writer.option("topic", channel.place)
     else:
         writer = _file_rows(messages).writeStream.format("parquet").option("path", channel.place)
-    return writer.outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return writer.outputMode("append").option("checkpointLocation", checkpoint).trigger(**trigger_of(every)).start()

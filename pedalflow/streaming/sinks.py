@@ -3,14 +3,10 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.channels import trigger_of
 from ..sources.summary import write_summary
 
 
-def trigger_of(every=None) -> dict:
-    """Run every ``every``, or once over all that is there now."""
-    return {"processingTime": every} if every else {"availableNow": True}
-
-
 def start_console(rows: DataFrame, every=None, checkpoint=None) -> StreamingQuery:
     """Print each micro-batch, untruncated."""
     writer = rows.writeStream.format("console").option("truncate", "false").outputMode("append")
