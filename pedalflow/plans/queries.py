@@ -260,14 +260,19 @@ def _few_partitions(spark):
     return state_partitions(spark, min(now, spark.sparkContext.defaultParallelism))
 
 
-def _run_files(spark, rows, label):
-    path = fresh_path(spark, label)
-    with _few_partitions(spark):
-        query = start_files(rows, path, fresh_path(spark, "progress"))
-    finish(query)
+def _run_rows(spark, rows):
+    """Run a stream into a fresh table and read the table."""
+    path = fresh_path(spark, "stream")
+    finish(start_files(rows, path, fresh_path(spark, "progress")))
     return tidy(spark.read.schema(rows.schema).parquet(path))
 
 
+def _run_windows(spark, windows):
+    rows = op.flat_window(windows)
+    with _few_partitions(spark):
+        return _run_rows(spark, rows)
+
+
 def _run_summary(spark, folder, grain, delay):
     summary = usage_from_messages(
         _status_messages(spark, folder, stream=True), _weather_messages(spark, folder, stream=True), grain, delay
@@ -289,21 +294,21 @@ def stream_usage_summary_1m(spark, folder):
 
 def stream_utilization(spark, folder):
     windows = utilization_from_messages(_status_messages(spark, folder, stream=True), GRAIN_30M, DELAY_30M)
-    return _run_files(spark, op.flat_window(windows), "utilization")
+    return _run_windows(spark, windows)
 
 
 def stream_weather_windows(spark, folder):
     windows = weather_from_messages(_weather_messages(spark, folder, stream=True), GRAIN_30M, DELAY_30M)
-    return _run_files(spark, op.flat_window(windows), "weather")
+    return _run_windows(spark, windows)
 
 
 def stream_status_enriched(spark, folder):
     rows = op.enrich_status(src.status(spark, folder, stream=True), _stations(spark, folder))
-    return _run_files(spark, rows, "enriched")
+    return _run_rows(spark, rows)
 
 
 def stream_weather_rows(spark, folder):
-    return _run_files(spark, decoded_weather(_weather_messages(spark, folder, stream=True)), "weather-rows")
+    return _run_rows(spark, decoded_weather(_weather_messages(spark, folder, stream=True)))
 
 
 # Forecast.

@@ -14,7 +14,7 @@ def grain_name(grain: str) -> str:
 
 
 def write_summary(summary: DataFrame, path: str, fmt="parquet", grain=None, batch_id=0) -> None:
-    """Write one batch; writing the same batch again replaces it.
+    """Write one batch; writing the same batch again replaces it. Without ``grain`` the whole ``path`` is that batch.
 
     Small batches are packed into few files and large ones are spread over many: adaptive execution picks the number
     from the size of the rows.

@@ -8,7 +8,7 @@ import pytest
 from pedalflow.plans.oracle import ORACLE
 from pedalflow.plans.queries import QUERIES
 
-FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
