@@ -25,13 +25,11 @@ def decode_messages(messages: DataFrame, schema: StructType, columns=None, keep=
     """
     fields = [f for f in schema.fields if columns is None or f.name in columns]
     value = F.col("value").cast("string")
-    carried = list(keep)
-    if keep_corrupt:
-        messages = messages.withColumn(CORRUPT, F.when(object_keys("value").isNull(), value))
-        carried.append(CORRUPT)
+    broken = [F.when(object_keys("value").isNull(), value).alias(CORRUPT)] if keep_corrupt else []
     names = [f.name for f in fields]
-    texts = messages.select(*carried, F.json_tuple(value, *names).alias(*names))
-    return texts.select(*keep, *[lenient(F.col(f.name), f.dataType).alias(f.name) for f in fields], *carried[len(keep) :])
+    texts = messages.select(*keep, *broken, F.json_tuple(value, *names).alias(*names))
+    typed = [lenient(F.col(f.name), f.dataType).alias(f.name) for f in fields]
+    return texts.select(*keep, *typed, *([CORRUPT] if keep_corrupt else []))
 
 
 def explode_stations(documents: DataFrame, schema: StructType, keep=(), document="value") -> DataFrame:

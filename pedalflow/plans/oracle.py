@@ -167,8 +167,8 @@ r AS (SELECT min(v) AS low, max(v) AS high FROM v),
 b AS (SELECT CAST(least(floor((v - low) * 20 / (high - low)), 19) AS INTEGER) AS bin, count(*) AS n
   FROM v, r GROUP BY 1),
 bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(20))
-SELECT bin, round(low + bin * (high - low) / 20, 6) AS bin_start, round(low + (bin + 1) * (high - low) / 20, 6) AS bin_end,
-  COALESCE(n, 0) AS n
+SELECT bin, round(low + bin * (high - low) / 20, 6) AS bin_start,
+  round(low + (bin + 1) * (high - low) / 20, 6) AS bin_end, COALESCE(n, 0) AS n
 FROM bins LEFT JOIN b USING (bin), r"""
 
 
@@ -243,7 +243,8 @@ SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEA
     "stream_usage_summary_1m": f"""{_usage(1)}
 SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 seconds")}""",
     "stream_utilization": f"""{_usage()}
-SELECT window_start, window_end, city, {_round(*_UTIL_MEASURES)} FROM util WHERE {_closed(_LAST_STATUS, "30 minutes")}""",
+SELECT window_start, window_end, city, {_round(*_UTIL_MEASURES)} FROM util
+WHERE {_closed(_LAST_STATUS, "30 minutes")}""",
     "stream_weather_windows": f"""{_usage()}
 SELECT window_start, window_end, city, {_round(*_AIR_MEASURES)} FROM air
 WHERE city IS NOT NULL AND {_closed(_LAST_WEATHER, "30 minutes")}""",

@@ -88,7 +88,7 @@ def stations_explode(spark, folder):
 
 
 def static_snapshot(spark, folder):
-    """The station list as a topic holds it: every record ever sent, of which the latest valid one per station counts."""
+    """The station list as a topic holds it: all records ever sent, of which the latest valid one per station counts."""
     channel = file_channel(fresh_path(spark, "station-messages"))
     write_messages(_info_messages(spark, folder), channel)
     return station_snapshot(read_messages(spark, channel))

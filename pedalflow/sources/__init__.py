@@ -1,6 +1,14 @@
 """Where rows come from and where messages go."""
 
-from .channels import Channel, file_channel, kafka_channel, read_messages, start_messages, stream_messages, write_messages
+from .channels import (
+    Channel,
+    file_channel,
+    kafka_channel,
+    read_messages,
+    start_messages,
+    stream_messages,
+    write_messages,
+)
 from .documents import read_documents, stream_documents
 from .summary import read_summary, write_summary
 

@@ -40,7 +40,10 @@ def landed(tmp_path_factory):
     )
     land(
         f"{home}/weather",
-        {at: {"dt": at, "main": {"temp": 20 + (at // 1800) % 9}, "wind": {"speed": 2}, "clouds": {"all": 10}} for at in half_hours},
+        {
+            at: {"dt": at, "main": {"temp": 20 + (at // 1800) % 9}, "wind": {"speed": 2}, "clouds": {"all": 10}}
+            for at in half_hours
+        },
     )
     return home
 

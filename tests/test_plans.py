@@ -79,7 +79,8 @@ def settings(spark, **values):
 def test_a_hot_station_is_split(spark):
     """A third of all rows in one station: the join of a large snapshot is split over several tasks."""
     ids = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).cast("string")
-    facts = spark.range(0, 300_000, 1, 8).select(ids.alias("station_id"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    filling = F.sha2(F.col("id").cast("string"), 256)
+    facts = spark.range(0, 300_000, 1, 8).select(ids.alias("station_id"), filling.alias("x"))
     stations = spark.range(5000).select(F.col("id").cast("string").alias("station_id"), F.col("id").alias("capacity"))
     stations = stored(stations, "stations")
     with settings(

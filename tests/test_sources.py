@@ -45,7 +45,8 @@ def test_a_second_publication_wins(spark, scratch):
     first = spark.createDataFrame([("1", "old", 1.0, 2.0, 3), ("2", "b", 1.0, 2.0, 4)], STATION_INFO)
     sources.write_messages(encode_messages(first, "station_id"), channel)
     time.sleep(0.01)
-    sources.write_messages(encode_messages(first.where("station_id = '1'").withColumn("name", F.lit("new")), "station_id"), channel)
+    second = first.where("station_id = '1'").withColumn("name", F.lit("new"))
+    sources.write_messages(encode_messages(second, "station_id"), channel)
     snapshot = station_snapshot(sources.read_messages(spark, channel))
     assert rows(snapshot, "station_id", "name") == [("1", "new"), ("2", "b")]
 

@@ -129,7 +129,8 @@ def test_state_in_rocksdb_and_csv_output(spark, feeds, scratch):
 
 def test_rows_without_time_reach_no_window(spark, scratch):
     texts = ['{"city":"a","temperature":1.0,"event_timestamp":null}', '{"city":"a"}', "broken"]
-    texts += ['{"city":"a","temperature":3.0,"event_timestamp":1704067200}', '{"city":"a","event_timestamp":1704080000}']
+    texts += ['{"city":"a","temperature":3.0,"event_timestamp":1704067200}']
+    texts += ['{"city":"a","event_timestamp":1704080000}']
     frame = spark.createDataFrame([(t,) for t in texts], "value string")
     frame = frame.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
     channel = sources.file_channel(f"{scratch}/weather")
@@ -210,7 +211,8 @@ def test_large_lookup_is_salted_on_a_stream(spark, feeds, scratch, monkeypatch):
     streaming.finish(streaming.start_files(joined, f"{scratch}/out", f"{scratch}/progress"))
     got = spark.read.parquet(f"{scratch}/out")
     sent = decoded_status(sources.read_messages(spark, sources.file_channel(status.place)))
-    assert bag(got, *STATION_STATUS.names, "capacity") == bag(sent.withColumn("capacity", F.lit(3)), *STATION_STATUS.names, "capacity")
+    columns = [*STATION_STATUS.names, "capacity"]
+    assert bag(got, *columns) == bag(sent.withColumn("capacity", F.lit(3)), *columns)
 
 
 def test_publishers(spark, scratch):
