@@ -163,7 +163,8 @@ FROM ({_STATUS_RECORD} FROM fx_status_raw) WHERE station_id <> ''"""
 def _histogram(before, values):
     return f"""{before},
 v AS ({values}),
-r AS (SELECT min(v) AS low, max(v) AS high FROM v),
+r AS (SELECT min(v) - m AS low, max(v) + m AS high
+  FROM v, (SELECT CASE WHEN min(v) = max(v) THEN 0.5::DOUBLE ELSE 0::DOUBLE END AS m FROM v) GROUP BY m),
 b AS (SELECT CAST(least(floor((v - low) * 20 / (high - low)), 19) AS INTEGER) AS bin, count(*) AS n
   FROM v, r GROUP BY 1),
 bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(20))
