@@ -6,7 +6,7 @@ so that a source with a third of all rows costs no more than any other.
 
 Defined cases: a null text is an empty one and fails the base rules; null languages and sources form groups of their
 own; repeated rows each get their own verdict; an empty table gives an empty result; a group of a single document, or
-one whose documents all look alike, rejects none of its own members, because the covariance is drawn towards a prior.
+one whose documents all look alike, rejects none of its own members, because each variance has a floor.
 """
 
 import math
@@ -21,13 +21,13 @@ from pedalflow.session import stored
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
-#: Transformed statistics, their prior standard deviations, and how many documents the prior counts for.
-PRIOR_SD = {"x_length": 0.5, "x_symbols": 0.05, "x_lines": 0.08, "x_repeats": 0.08}
-PRIOR_ROWS = 30
+#: Transformed statistics, and for each the standard deviation that any group is granted on top of its own. A group in
+#: which hardly anyone repeats a line or writes a symbol would else take an ordinary single case for an outlier.
+GRANTED = {"x_length": 0.3, "x_symbols": 0.04, "x_lines": 0.1, "x_repeats": 0.1}
 #: Share of a group that the estimates rest on, concentration steps, and the squared distance that is too far.
 SUBSET = 0.75
 STEPS = 3
-CUTOFF = 60.0
+CUTOFF = 36.0
 #: Quantile 0.75 of the chi-squared distribution by degrees of freedom.
 CHI2_75 = {1: 1.3233, 2: 2.7726, 3: 4.1083, 4: 5.3853, 5: 6.6257}
 #: Bins of distance to each doubling, for exact counts in place of a quantile sketch.
@@ -109,19 +109,18 @@ def transformed(stats: DataFrame) -> DataFrame:
 
 
 def _moments(rows: DataFrame) -> DataFrame:
-    names = list(PRIOR_SD)
+    names = list(GRANTED)
     sums = [F.count("*").alias("n"), *[F.avg(x).alias(f"m_{x}") for x in names]]
     sums += [F.covar_pop(a, b).alias(f"c_{a}_{b}") for i, a in enumerate(names) for b in names[: i + 1]]
     return rows.groupBy("lang", "source").agg(*sums)
 
 
 def _factored(groups: DataFrame) -> DataFrame:
-    """Add the Cholesky factor of each group's covariance, drawn towards the prior, column by column."""
-    names = list(PRIOR_SD)
+    """Add the Cholesky factor of each group's covariance, with the granted variances, column by column."""
+    names = list(GRANTED)
     for i, a in enumerate(names):
         for j, b in enumerate(names[: i + 1]):
-            prior = PRIOR_SD[a] ** 2 * PRIOR_ROWS if i == j else 0.0
-            entry = (F.col(f"c_{a}_{b}") * F.col("n") + F.lit(prior)) / (F.col("n") + F.lit(PRIOR_ROWS))
+            entry = F.col(f"c_{a}_{b}") + F.lit(GRANTED[a] ** 2 if i == j else 0.0)
             for k in range(j):
                 entry = entry - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
             entry = F.sqrt(F.greatest(entry, F.lit(1e-9))) if i == j else entry / F.col(f"l_{j}_{j}")
@@ -136,7 +135,7 @@ def _measured(rows: DataFrame, groups: DataFrame) -> DataFrame:
     alike = rows["lang"].eqNullSafe(theirs["g_lang"]) & rows["source"].eqNullSafe(theirs["g_source"])
     rows = rows.join(theirs, alike, "left")
     total = F.lit(0.0)
-    for i, a in enumerate(PRIOR_SD):
+    for i, a in enumerate(GRANTED):
         rest = F.col(a) - F.col(f"m_{a}")
         for k in range(i):
             rest = rest - F.col(f"l_{i}_{k}") * F.col(f"y_{k}")
@@ -171,12 +170,12 @@ def covariance_determinant(stats: DataFrame) -> DataFrame:
     documents alone. Estimates are written down after each step; they are one row a group.
     """
     rows = transformed(stats)
-    names = list(PRIOR_SD)
+    names = list(GRANTED)
     middle = rows.groupBy("lang", "source").agg(
         F.count("*").alias("n"), *[F.percentile_approx(x, 0.5, 1000).alias(f"m_{x}") for x in names]
     )
     pairs = [(a, b) for i, a in enumerate(names) for b in names[: i + 1]]
-    groups = _factored(middle.select("*", *[F.lit(PRIOR_SD[a] ** 2 if a == b else 0.0).alias(f"c_{a}_{b}") for a, b in pairs]))
+    groups = _factored(middle.select("*", *[F.lit(0.0).alias(f"c_{a}_{b}") for a, b in pairs]))
     for _ in range(STEPS):
         measured = _measured(rows, groups)
         near = _bounded(measured, _limits(measured)).where(_bin() <= F.col("limit"))

@@ -3,9 +3,17 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalflow.llm import chat, pii, quality
+from pedalflow.llm import bpe, chat, language_id, lm_scoring, packing, pii, quality, simhash, sketch, url_filter
 from pedalflow.llm.common import table
 
+#: The public vocabulary of op5; a parameter of the operator.
+try:
+    import public_tokenizers
+
+    VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+except ModuleNotFoundError:
+    VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
 
@@ -20,6 +28,15 @@ def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in pii.KINDS], _hex(pii.joined("base")).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(table(spark, sf_dir, "documents"))
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.judged(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"), F.array_join("words", " ").alias("host_words"))
+
+
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = spark.sql("SELECT * FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)").select(
@@ -42,6 +59,35 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.encoded(table(spark, sf_dir, "documents"), VOCABULARY)
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        _hex(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(packing.with_clusters(table(spark, sf_dir, "documents")))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda c: F.crc32(F.col(c).cast("string").cast("binary")) % 4 == 2
+    model = language_id.fit(docs, ~held_out("doc_id"))
+    return language_id.predicted(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.edited_sketches(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality.quality_verdicts(table(spark, sf_dir, "documents"))
     return verdicts.select(
@@ -49,7 +95,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_personal_data, op4_chat_format, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_personal_data,
+        op2_lm_score,
+        op3_url_filter,
+        op4_chat_format,
+        op5_bpe,
+        op6_packing,
+        op7_language_id,
+        op8_fingerprints,
+        op9_simhash,
+        op10_quality_rules,
+    )
+}
 
 ORACLE = {
     "op4_chat_format": rf"""
