@@ -117,14 +117,14 @@ ORACLE = {
         SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
         UNION ALL SELECT -7, 0, 'user', '{HARD_TEXT}' UNION ALL SELECT -7, 1, 'assistant', '{HARD_TEXT}'),
     placed AS (
-        SELECT *, lag(role) OVER w AS earlier, row_number() OVER w AS at FROM turns
+        SELECT *, lag(role) OVER w AS earlier, row_number() OVER w AS nth FROM turns
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
     SELECT conv_id, count(*) AS n_turns,
-        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
         CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-        sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY at)) AS loss_sha256,
+        sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY nth)) AS loss_sha256,
         CAST(sum(length(replace(replace(text, '\', '\s'), '|', '\p'))
-            + CASE WHEN earlier = role THEN 8 ELSE 18 + length(replace(replace(role, '\', '\s'), '|', '\p')) END)
+            + CASE WHEN earlier = role THEN 8 ELSE 17 + length(replace(replace(role, '\', '\s'), '|', '\p')) END)
             AS BIGINT) AS formatted_chars
     FROM placed GROUP BY conv_id""",
 }

@@ -1,0 +1,192 @@
+"""Plain versions of the operators, one row at a time, to hold results against."""
+
+import hashlib
+import re
+
+import xxhash
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+EDGE_TEXTS = [
+    None,
+    "",
+    " \t\n",
+    "one",
+    "one two three four",
+    "same same same same same same same same same same same same",
+    "A line\nA line\n\nA line\n",
+    "Ünïcödé 中文 текст 😀 mixed WORDS\x0bhere\x0cand\rthere",
+    "call +1 (555) 555-0199 or mail a.b@c.example.com, 10.0.0.255 and 300.1.1.1, 4111 1111 1111 1111",
+    "a@b.c@d.e x@y a..b@c.d-e.f 1.2.3.4.5.6.7.8 +12 +1234567890123456 4111-1111-1111-1112",
+    "tail+ +1() 5 " + "7" * 40,
+    "x" * 5000,
+    "word " * 3000,
+]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def shingles(text, width):
+    words = WORD.findall(lower(text))
+    if not words:
+        return []
+    return [" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
+
+
+def fingerprint(text):
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles(text, 4)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints):
+    """Least id reachable, for (id, fingerprint) rows."""
+    label = {}
+    nodes = sorted(set(p for _, p in prints))
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(nodes):
+        for b in nodes[i + 1 :]:
+            if (a ^ b).bit_count() <= 4:
+                parent[find(a)] = find(b)
+    for i, p in prints:
+        if i is not None:
+            label[find(p)] = min(label.get(find(p), i), i)
+    return {i: label.get(find(p)) for i, p in prints}
+
+
+PERSONAL = [
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+]
+
+
+def luhn(number):
+    total = 0
+    for k, c in enumerate(reversed(number)):
+        d = int(c) * (1 + k % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def personal(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(PERSONAL):
+        for m in re.finditer(pattern, text or ""):
+            number = re.sub("[^0-9]", "", m.group())
+            good = {
+                "email": True,
+                "ip": kind != "ip" or all(int(p) <= 255 for p in m.group().split(".")),
+                "card": 14 <= len(number) <= 19 and luhn(number),
+                "phone": 10 <= len(number) <= 15,
+            }[kind]
+            if good:
+                out.append((m.start(), rank, kind, m.end()))
+    return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(out))
+
+
+def quality(text):
+    text = text or ""
+    words = WORD.findall(text)
+    places = {}
+    for i in range(len(words) - 4):
+        places.setdefault(tuple(words[i : i + 5]), []).append(i)
+    covered = {i + k for found in places.values() if len(found) > 1 for i in found for k in range(5)}
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            repeated += line in seen
+            seen.add(line)
+    failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), repeated, len(covered), failed
+
+
+def kept_hashes(text):
+    hashes = {xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles(text, 5)}
+    return "".join(f"{h:016x}" for h in sorted(h for h in hashes if h < 2**64 // 16))
+
+
+def backoff(texts):
+    """Words and log score of each document, every occurrence left out of its own counts."""
+    from collections import Counter
+    from math import log
+
+    split = {i: WORD.findall(lower(t)) for i, t in texts.items()}
+    one, two, three = Counter(), Counter(), Counter()
+    for w in split.values():
+        one.update(w)
+        two.update(zip(w, w[1:], strict=False))
+        three.update(zip(w, w[1:], w[2:], strict=False))
+    size = sum(one.values())
+    # Neighbours of a place count only where both are there, as the middle word's context is the whole record.
+    out = {}
+    for i, w in split.items():
+        total = 0.0
+        for k, c in enumerate(w):
+            if k > 1 and three[w[k - 2], w[k - 1], c] > 1:
+                total += log((three[w[k - 2], w[k - 1], c] - 1) / (two[w[k - 2], w[k - 1]] - 1))
+            elif k > 0 and two[w[k - 1], c] > 1:
+                total += (log(0.4) if k > 1 else 0.0) + log((two[w[k - 1], c] - 1) / (one[w[k - 1]] - 1))
+            else:
+                total += min(k, 2) * log(0.4) + log(max(one[c] - 1, 0.5) / size)
+        out[i] = len(w), total
+    return out
+
+
+RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def url_rule(url):
+    before, mark, rest = (url or "").partition("://")
+    if not mark:
+        return "", "", None, None
+    m = re.match(r"([^/?#]*)([^?#]*)", rest)
+    host, path = lower(m[1]), m[2]
+    fits = []
+    for rule, verdict in RULES:
+        site, _, tail = rule.partition("/")
+        if (host == site or host.endswith("." + site)) and path.startswith("/" + tail):
+            fits.append((len(rule), rule, verdict))
+    return (host, path, *(max(fits)[1:] if fits else (None, None)))
+
+
+def check_packing(found, texts, about, capacity=2048, per_source=2):
+    from collections import Counter, defaultdict
+
+    spans, bins = defaultdict(list), defaultdict(list)
+    for r in found:
+        spans[r["doc_id"]].append((r["start"], r["length"]))
+        if r["length"]:
+            bins[r["bin"]].append(r)
+        else:
+            assert r["bin"] is None
+    assert spans.keys() == texts.keys()
+    for i, words in texts.items():
+        at = 0
+        for start, length in sorted(spans[i]):
+            assert start == at and length <= capacity
+            at += length
+        assert at == len(words)
+    for inside in bins.values():
+        end = 0
+        for r in sorted(inside, key=lambda r: r["offset"]):
+            assert r["offset"] == end
+            end += r["length"]
+        assert end <= capacity
+        sources = Counter(about[r["doc_id"]][0] for r in inside)
+        sources.pop(None, None)
+        assert max(sources.values(), default=0) <= per_source
+        texts_in = [about[r["doc_id"]][1].strip().lower() for r in inside]
+        assert len(set(texts_in)) == len(texts_in)
