@@ -10,11 +10,13 @@ text; a row without doc_id stands outside the order, its next document is empty;
 """
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalflow.llm.common import picked
@@ -23,8 +25,8 @@ from pedalflow.llm.shingles import shingle_digests, word_bytes
 WIDTH = 5
 #: One in FRACTION hashes is kept.
 FRACTION = 16
-#: Ids of a range that is put in order at once.
-SPAN = 1024
+#: Runs of the order of ids to a shuffle partition.
+RUNS = 4
 
 
 def sketch(text: str) -> np.ndarray:
@@ -67,78 +69,120 @@ def sketches(docs: DataFrame) -> DataFrame:
     return df.mapInArrow(run, f"doc_id {kind}, sketch string")
 
 
-def _before(rows: DataFrame, levels: int = 2) -> DataFrame:
-    """Add ``before``: what the row with the next smaller ``k`` has in ``v``, null for the least.
+def _boundaries(docs: DataFrame, count: int) -> list:
+    """Ids of the table, the least among them, that cut its order into about ``count`` equal runs."""
+    shares = [k / count for k in range(1, count)]
+    cuts = F.percentile_approx("doc_id", shares, 50 * count) if shares else F.array()
+    row = docs.agg(F.min("doc_id").alias("least"), cuts.alias("cuts")).first()
+    return [] if row["least"] is None else sorted({row["least"], *(row["cuts"] or ())})
 
-    Rows are put in order within ranges of k. The last row of each range goes before the next range, found the same way
-    among the ranges, which are far fewer; only the top level is ordered in one piece.
+
+def _dealt(docs: DataFrame, starts: list) -> DataFrame:
+    """run, borrowed, doc_id and the packed text: each document in its run of the order.
+
+    The first document of a run, whose id is the cut itself, goes to the run before it too, as borrowed; that of the
+    first run goes to the last one.
     """
-    if not levels:
-        return rows.withColumn("before", F.lag("v").over(Window.orderBy("k")))
-    rows = rows.withColumn("range", F.floor(F.col("k") / SPAN))
-    ends = rows.groupBy("range").agg(F.max(F.struct("k", "v"))["v"].alias("v"))
-    earlier = _before(ends.select(F.col("range").alias("k"), "v"), levels - 1).select(F.col("k").alias("range"), F.col("before").alias("carried"))
-    order = Window.partitionBy("range").orderBy("k")
-    rows = rows.withColumn("before", F.lag("v").over(order)).join(earlier, "range", "left")
-    return rows.withColumn("before", F.coalesce("before", "carried")).select("k", "v", "before")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(np.array(starts))  # as many as RUNS times the shuffle partitions
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts = shared.value
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            out: list[tuple] = []
+            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                packed = pack((text or "").encode("utf-8", "surrogatepass"))
+                if i is None:
+                    out.append((-1 - zlib.crc32(packed) % (len(cuts) + 1), False, i, packed))
+                    continue
+                at = int(np.searchsorted(cuts, i, side="right")) - 1
+                out.append((at, False, i, packed))
+                if cuts[at] == i:
+                    out.append(((at - 1) % len(cuts), True, i, packed))
+            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+            kinds = [pa.int32(), pa.bool_(), batch.schema.field("doc_id").type, pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["run", "borrowed", "doc_id", "packed"])
+
+    return docs.mapInArrow(run, f"run int, borrowed boolean, doc_id {kind}, packed binary")
 
 
 def edited_sketches(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document, of its edited text, and how like both, and the next document, are to it.
 
-    Texts are dealt out by doc_id once. From there each document sends its first characters, as many as the one before
-    it needs, and its sketch to that one's place; the texts themselves do not travel again.
+    The order of ids is cut into runs at ids of the table, and each text travels once, to its run; a task walks through
+    its runs in order and sees each document beside the next one. ``near_*`` are containments, ``jaccard_*`` similarities.
     """
-    texts = picked(docs, doc_id="doc_id", text="text").withColumn("text", F.coalesce("text", F.lit("")))
-    alone = texts.where("doc_id is null")
-    texts = texts.where("doc_id is not null")
-    texts = texts.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("nth = 1").drop("nth")
-    lengths = texts.select(F.col("doc_id").alias("k"), F.struct("doc_id", F.length("text").alias("n")).alias("v"))
-    order = _before(lengths)
-    # The first document follows the last one.
-    last = order.agg(F.max(F.struct("k", "v"))["v"].alias("last")).scalar()
-    order = order.withColumn("v", F.coalesce("before", last)).select(
-        F.col("k").alias("doc_id"), F.col("v.doc_id").alias("to"), F.floor(F.col("v.n") / 4).cast("int").alias("take")
-    )
-
-    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole = batch.column("text").to_pylist()
-            heads = [t[:n] for t, n in zip(whole, batch.column("take").to_pylist(), strict=True)]
-            rows = [batch.column("to"), pa.array(heads, pa.string()), pa.array([sketch(t).tobytes() for t in whole], pa.binary()), pa.array([hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in whole], pa.binary())]
-            yield pa.RecordBatch.from_arrays(rows, ["to", "head", "next_sketch", "next_text"])
-
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    heads = texts.join(order, "doc_id").select("to", "take", "text").mapInArrow(starts, f"to {kind}, head string, next_sketch binary, next_text binary")
-    ready = texts.join(heads, texts["doc_id"] == heads["to"], "left").select("doc_id", "text", "head", "next_sketch", "next_text")
-    ready = ready.unionByName(alone, allowMissingColumns=True)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "jaccard_edited", "jaccard_next"]
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
+    df = picked(docs, doc_id="doc_id", text="text")
+    kind = df.schema["doc_id"].dataType.simpleString()
+    count = RUNS * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _dealt(df, _boundaries(df, count)).repartition(count // RUNS, "run").sortWithinPartitions("run", "borrowed", "doc_id")
+    names = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "jaccard_edited", "jaccard_next"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
+
+    def compared(text: str, own: np.ndarray, following: str, after: np.ndarray) -> tuple:
+        edited = text[: len(text) - len(text) // 4] + following[: len(text) // 4]
+        changed = sketch(edited)
+        return (
+            len(text),
+            hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
+            written(own),
+            written(changed),
+            containment(own, changed, text == edited),
+            containment(own, after, text == following),
+            similarity(own, changed, text == edited),
+            similarity(own, after, text == following),
+        )
+
+    def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """run, borrowed, doc_id, text; of equal ids the least text."""
+        unpack = zstandard.ZstdDecompressor().decompress
+        last = None
         for batch in batches:
-            out: list[list] = [[] for _ in names]
-            for text, head, following, digest in zip(*[batch.column(c).to_pylist() for c in ("text", "head", "next_sketch", "next_text")], strict=True):
-                edited = text[: len(text) - len(text) // 4] + (head or "")
-                own, changed = sketch(text), sketch(edited)
-                after = np.frombuffer(following or b"", np.uint64)
-                same = digest == hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()
-                row = [
-                    len(text),
-                    hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-                    written(own),
-                    written(changed),
-                    containment(own, changed, text == edited),
-                    containment(own, after, same),
-                    similarity(own, changed, text == edited),
-                    similarity(own, after, same),
-                ]
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(out, kinds, strict=True)]], ["doc_id", *names])
-
-    return ready.mapInArrow(
-        compare,
+            for run, borrowed, i, packed in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                row = (run, borrowed, i, unpack(packed).decode("utf-8", "surrogatepass"))
+                if last and i is not None and row[:3] == last[:3]:
+                    last = min(last, row, key=lambda r: r[3])
+                    continue
+                if last:
+                    yield last
+                last = row
+        if last:
+            yield last
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        id_type = None
+
+        def peeked():
+            nonlocal id_type
+            for batch in batches:
+                id_type = batch.schema.field("doc_id").type
+                yield batch
+
+        def flush(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [id_type, *kinds], strict=True)], ["doc_id", *names])
+
+        out: list[tuple] = []
+        nothing = sketch("")
+        before = None
+        for run, borrowed, i, text in documents(peeked()):
+            own = sketch(text)
+            if before is not None:
+                out.append((before[0], *compared(before[1], before[2], text, own)))
+                before = None
+            if i is None:
+                out.append((i, *compared(text, own, "", nothing)))
+            elif not borrowed:
+                before = (i, text, own)
+            if len(out) >= 500:
+                yield flush(out)
+                out = []
+        if out:
+            yield flush(out)
+
+    return dealt.mapInArrow(
+        walk,
         f"doc_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double, jaccard_edited double, jaccard_next double",
     )
