@@ -32,7 +32,7 @@ from pedalflow.llm.shingles import word_bytes
 from pedalflow.session import stored
 
 BACKOFF = 0.4
-#: Words in a place, on average; documents of the sample for frequent words, and from what share a word is frequent.
+#: Words in a place, on average; documents of the sample for frequent words, and the least share that makes a word frequent.
 PLACE = 2_000_000
 SAMPLE = 2_000
 FREQUENT = 0.002
@@ -118,8 +118,8 @@ def settled(a: np.ndarray, b: np.ndarray, c: np.ndarray, second: np.ndarray, rol
     return score, due
 
 
-def _frequent(docs: DataFrame) -> dict[int, int]:
-    """Hash and exact count of words that make up over FREQUENT of a bounded sample: 1 / FREQUENT words at most."""
+def _frequent(docs: DataFrame, share: float) -> dict[int, int]:
+    """Hash and exact count of words that make up over ``share`` of a bounded sample: 1 / share words at most."""
 
     def tally(only: frozenset | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,7 @@ def _frequent(docs: DataFrame) -> dict[int, int]:
     found = sample.mapInArrow(tally(None), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     found = stored(found, "words")
     total = found.where(F.length("word") == 0).agg(F.sum("n")).first()[0] or 0
-    names = [bytes(r["word"]) for r in found.where((F.length("word") > 0) & (F.col("n") > FREQUENT * total)).collect()]
+    names = [bytes(r["word"]) for r in found.where((F.length("word") > 0) & (F.col("n") > share * total)).collect()]
     if not names:
         return {}
     exact = docs.select("text").mapInArrow(tally(frozenset(names)), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -152,7 +152,8 @@ def scored(docs: DataFrame) -> DataFrame:
     kind = df.schema["doc_id"].dataType.simpleString()
     chars = df.agg(F.sum(F.length("text"))).first()[0] or 0
     places = max(1, chars // (6 * PLACE) + 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    frequent = _frequent(df)
+    # A word is split only if it would fill several places: each of its records then travels twice.
+    frequent = _frequent(df, max(FREQUENT, 4 / places))
     known = df.sparkSession.sparkContext.broadcast(frequent)
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
