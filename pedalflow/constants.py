@@ -27,7 +27,5 @@ ROWS_AHEAD = 2
 TIME_AHEAD = "1 hour"
 HISTOGRAM_BINS = 20
 
-# Most rows a lookup table may have to be copied to every executor of a running stream.
-BROADCAST_ROWS = 2_000_000
-# Shares a hot lookup key is split into when the table is larger than that.
-LOOKUP_SALTS = 16
+# How far ahead of its message's publish time an event may claim to be before its time is taken for an error.
+TIME_TOLERANCE = "1 hour"

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..constants import TIME_TOLERANCE
+
 # Epoch seconds of 0001-01-01 and 9999-12-31T23:59:59 (UTC), the range of a timestamp that prints and casts.
 _FIRST_SECOND = -62135596800
 _LAST_SECOND = 253402300799
@@ -18,6 +20,17 @@ def event_time(epoch) -> Column:
     return F.when(epoch.between(_FIRST_SECOND, _LAST_SECOND), F.timestamp_seconds(epoch))
 
 
+def plausible(moment, sent, tolerance=TIME_TOLERANCE) -> Column:
+    """The event time, or null if it lies more than ``tolerance`` after the message was sent.
+
+    One absurd time would move the watermark of a stream there and make all later rows late. An unknown time of sending
+    judges nothing.
+    """
+    moment = F.col(moment) if isinstance(moment, str) else moment
+    sent = F.col(sent) if isinstance(sent, str) else sent
+    return F.when(sent.isNull() | (moment <= sent + F.expr(f"INTERVAL {tolerance}")), moment)
+
+
 def epoch_seconds(moment) -> Column:
     """Whole epoch seconds of a timestamp, rounded down."""
     moment = F.col(moment) if isinstance(moment, str) else moment

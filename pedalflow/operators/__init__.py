@@ -3,7 +3,7 @@
 from .audit import audit_counts, message_rules, observe_counts, station_info_rules, station_status_rules
 from .clean import clean_station_info, clean_station_status, encode_messages, flatten_weather, stamp
 from .decode import decode_messages, explode_stations
-from .enrich import enrich_status, latest_by_key, lookup_join, salted_join
+from .enrich import enrich_status, latest_by_key, lookup_join
 from .features import calendar_features, feature_rows, split, split_counts
 from .leads import lead_by_rows, lead_by_time
 from .reports import histogram, latest_row
@@ -38,7 +38,6 @@ __all__ = [
     "message_rules",
     "observe_counts",
     "ordered",
-    "salted_join",
     "split",
     "split_counts",
     "stamp",

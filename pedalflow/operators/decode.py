@@ -18,7 +18,7 @@ def decode_messages(messages: DataFrame, schema: StructType, columns=None, keep=
 
     A field that does not fit its type becomes null, a value that is no JSON gives a row of nulls. ``columns`` limits
     the fields that are taken out of the text. ``keep`` names envelope columns to carry along (say ``timestamp`` and
-    ``offset``). ``keep_corrupt`` adds a column with the text of broken values.
+    ``offset``); one that has the name of a field becomes ``message_<name>``. ``keep_corrupt`` adds a column with the text of broken values.
 
     The fields come out of a generator: no later filter can be pushed through it, which would parse the text once more
     for the filter.
@@ -27,9 +27,11 @@ def decode_messages(messages: DataFrame, schema: StructType, columns=None, keep=
     value = F.col("value").cast("string")
     broken = [F.when(object_keys("value").isNull(), value).alias(CORRUPT)] if keep_corrupt else []
     names = [f.name for f in fields]
-    texts = messages.select(*keep, *broken, F.json_tuple(value, *names).alias(*names))
+    kept = [f"message_{c}" if c in names else c for c in keep]
+    carried = [F.col(c).alias(name) for c, name in zip(keep, kept, strict=True)]
+    texts = messages.select(*carried, *broken, F.json_tuple(value, *names).alias(*names))
     typed = [lenient(F.col(f.name), f.dataType).alias(f.name) for f in fields]
-    return texts.select(*keep, *typed, *([CORRUPT] if keep_corrupt else []))
+    return texts.select(*kept, *typed, *([CORRUPT] if keep_corrupt else []))
 
 
 def explode_stations(documents: DataFrame, schema: StructType, keep=(), document="value") -> DataFrame:

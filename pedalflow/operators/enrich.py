@@ -3,8 +3,6 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import BROADCAST_ROWS, LOOKUP_SALTS
-
 
 def _names(names):
     return [names] if isinstance(names, str) else list(names)
@@ -23,28 +21,14 @@ def latest_by_key(rows: DataFrame, key, order) -> DataFrame:
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """Left join of a large table or stream with a lookup table that has one row per key.
-
-    In a batch the optimizer broadcasts the lookup side if its measured size allows; otherwise both sides are shuffled
-    and adaptive execution splits the partitions of hot keys. A streaming plan is fixed beforehand, so there the lookup
-    rows are counted once, here, and decide between a broadcast and a salted shuffle.
-    """
-    if not facts.isStreaming:
-        return facts.join(lookup, key, "left")
-    if lookup.count() <= BROADCAST_ROWS:
-        return facts.join(F.broadcast(lookup), key, "left")
-    return salted_join(facts, lookup, key)
-
-
-def salted_join(facts: DataFrame, lookup: DataFrame, key: str, salts=LOOKUP_SALTS) -> DataFrame:
-    """The same left join with every key spread over ``salts`` shuffle keys, by copying the lookup rows.
+    """Left join of a large table or stream with a stored lookup table that has one row per key.
 
-    The salt is the number of the input partition, so a repeated task gives the same salt and even identical rows
-    spread out. The hint keeps the copies, whose number the optimizer does not see, from being broadcast.
+    The files of the lookup tell its size, so the optimizer broadcasts it only where that is safe; otherwise both sides
+    are shuffled and adaptive execution splits the partitions of hot keys, in a batch and in a stateless stream alike.
+    It can split only what several input tasks have read: let a topic with a hot partition be read in several pieces by
+    giving its channel the option ``minPartitions``.
     """
-    salted = facts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies.hint("merge"), [key, "_salt"], "left").drop("_salt")
+    return facts.join(lookup, key, "left")
 
 
 def enrich_status(status: DataFrame, stations: DataFrame) -> DataFrame:

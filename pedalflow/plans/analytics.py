@@ -1,10 +1,13 @@
 """From messages to the usage summary; every function takes batches and streams."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..constants import GRAIN_30M
+from ..functions.clock import plausible
+from ..operators.audit import message_rules, observe_counts
 from ..operators.clean import clean_station_info
-from ..operators.decode import decode_messages
+from ..operators.decode import CORRUPT, decode_messages
 from ..operators.enrich import latest_by_key
 from ..operators.usage import usage_summary, utilization_by_window, weather_by_window, with_event_time
 from ..schemas import STATION_INFO, STATION_STATUS, WEATHER
@@ -15,26 +18,42 @@ _STATUS_USED = ["num_bikes_available", "num_docks_available", "city"]
 _WEATHER_USED = ["temperature", "wind_speed", "cloudiness", "precipitation", "city"]
 
 
-def decoded_status(messages: DataFrame, columns=None, epoch_col="event_timestamp") -> DataFrame:
-    """Status messages as rows with ``event_time``; ``columns`` are the only fields needed beside the time."""
-    columns = columns and [*columns, epoch_col]
-    return with_event_time(decode_messages(messages, STATION_STATUS, columns), epoch_col)
+def _decoded(messages, schema, columns, epoch_col, observed, key):
+    columns = columns and [*columns, epoch_col, *([key] if observed and key not in columns else [])]
+    sent = ["timestamp"] if "timestamp" in messages.columns else []
+    rows = decode_messages(messages, schema, columns, keep=sent, keep_corrupt=bool(observed))
+    rows = with_event_time(rows, epoch_col)
+    if sent:
+        name = next(c for c in ("message_timestamp", "timestamp") if c in rows.columns)
+        rows = rows.withColumn("event_time", plausible("event_time", name)).drop(name)
+    if observed:
+        rules = {**message_rules(key), "bad_time": F.col("event_time").isNull()}
+        rows = observe_counts(rows, observed, rules).drop(CORRUPT)
+    return rows
 
 
-def decoded_weather(messages: DataFrame, columns=None, epoch_col="event_timestamp") -> DataFrame:
-    """Weather messages as rows with ``event_time``."""
-    columns = columns and [*columns, epoch_col]
-    return with_event_time(decode_messages(messages, WEATHER, columns), epoch_col)
+def decoded_status(messages: DataFrame, columns=None, epoch_col="event_timestamp", observed=None) -> DataFrame:
+    """Status messages as rows with ``event_time``; ``columns`` are the only fields needed beside the time.
 
+    A time far ahead of the message's own (see ``plausible``) is null. ``observed`` names counts of accepted and rejected
+    rows (``loaded``, ``corrupt``, ``no_key``, ``bad_time``) that a streaming query reports with its progress.
+    """
+    return _decoded(messages, STATION_STATUS, columns, epoch_col, observed, "station_id")
+
+
+def decoded_weather(messages: DataFrame, columns=None, epoch_col="event_timestamp", observed=None) -> DataFrame:
+    """Weather messages as rows with ``event_time``; as ``decoded_status``, with ``city`` for a key."""
+    return _decoded(messages, WEATHER, columns, epoch_col, observed, "city")
 
-def utilization_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None) -> DataFrame:
+
+def utilization_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None, observed=None) -> DataFrame:
     """Windowed utilization of status messages; a stream needs ``delay``."""
-    return utilization_by_window(decoded_status(messages, _STATUS_USED), grain, delay)
+    return utilization_by_window(decoded_status(messages, _STATUS_USED, observed=observed), grain, delay)
 
 
-def weather_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None) -> DataFrame:
+def weather_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None, observed=None) -> DataFrame:
     """Windowed weather of weather messages; a stream needs ``delay``."""
-    return weather_by_window(decoded_weather(messages, _WEATHER_USED), grain, delay)
+    return weather_by_window(decoded_weather(messages, _WEATHER_USED, observed=observed), grain, delay)
 
 
 def station_snapshot(messages: DataFrame) -> DataFrame:
@@ -44,11 +63,14 @@ def station_snapshot(messages: DataFrame) -> DataFrame:
     return latest_by_key(stations, "station_id", order).drop(*order)
 
 
-def usage_from_messages(status: DataFrame, weather: DataFrame, grain=GRAIN_30M, delay=None) -> DataFrame:
+def usage_from_messages(status: DataFrame, weather: DataFrame, grain=GRAIN_30M, delay=None, counts=False) -> DataFrame:
     """Usage summary of status and weather messages; a stream needs ``delay``.
 
+    ``counts`` reports accepted and rejected rows of both feeds as ``status_rows`` and ``weather_rows``.
+
     The station list has no part in it: the summary uses none of its columns, so joining it would only move data.
     """
     return usage_summary(
-        utilization_from_messages(status, grain, delay), weather_from_messages(weather, grain, delay)
+        utilization_from_messages(status, grain, delay, "status_rows" if counts else None),
+        weather_from_messages(weather, grain, delay, "weather_rows" if counts else None),
     )

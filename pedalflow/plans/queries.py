@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..constants import DEFAULT_CITY, DELAY_1M, DELAY_30M, GRAIN_1M, GRAIN_30M
 from ..schemas import STATION_INFO, STATION_STATUS, WEATHER
-from ..session import fresh_path, state_partitions, stored
+from ..session import fresh_path, stored
 from ..sources import tables as src
 from ..sources.channels import file_channel, read_messages, write_messages
 from ..sources.summary import read_summary, write_summary
@@ -254,12 +254,6 @@ def util_histogram(spark, folder):
 # Streams. Each runs over all that is there and ends; the rows are read back from its sink.
 
 
-def _few_partitions(spark):
-    """No more state partitions than cores."""
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return state_partitions(spark, min(now, spark.sparkContext.defaultParallelism))
-
-
 def _run_rows(spark, rows):
     """Run a stream into a fresh table and read the table."""
     path = fresh_path(spark, "stream")
@@ -268,9 +262,7 @@ def _run_rows(spark, rows):
 
 
 def _run_windows(spark, windows):
-    rows = op.flat_window(windows)
-    with _few_partitions(spark):
-        return _run_rows(spark, rows)
+    return _run_rows(spark, op.flat_window(windows))
 
 
 def _run_summary(spark, folder, grain, delay):
@@ -278,9 +270,7 @@ def _run_summary(spark, folder, grain, delay):
         _status_messages(spark, folder, stream=True), _weather_messages(spark, folder, stream=True), grain, delay
     )
     path = fresh_path(spark, "usage-stream")
-    with _few_partitions(spark):
-        query = start_summary_sink(summary, path, fresh_path(spark, "progress"), grain)
-    finish(query)
+    finish(start_summary_sink(summary, path, fresh_path(spark, "progress"), grain))
     return tidy(read_summary(spark, path, grain=grain))
 
 

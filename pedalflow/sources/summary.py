@@ -1,5 +1,7 @@
-"""The usage summary at rest: parquet or CSV below ``grain=<window length>/batch_id=<n>``, or one plain CSV file."""
+"""The usage summary at rest: parquet or CSV below
+``grain=<window length>/run=<name>/batch_id=<n>``, or one plain CSV file."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +15,27 @@ def grain_name(grain: str) -> str:
     return grain.strip().replace(" ", "_")
 
 
-def write_summary(summary: DataFrame, path: str, fmt="parquet", grain=None, batch_id=0) -> None:
-    """Write one batch; writing the same batch again replaces it. Without ``grain`` the whole ``path`` is that batch.
+def _has_grains(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").load(f"{path}/grain=*")
+    except AnalysisException:
+        return False
+    return True
 
-    Small batches are packed into few files and large ones are spread over many: adaptive execution picks the number
-    from the size of the rows.
+
+def write_summary(summary: DataFrame, path: str, fmt="parquet", grain=None, batch_id=0, run="batch") -> None:
+    """Write one batch; writing the same batch of the same run again replaces it, and nothing else.
+
+    ``run`` keeps apart what numbers its batches from 0 anew: each stream query has its own, batch jobs share ``batch``.
+    Without ``grain`` the whole ``path`` is that batch; a dataset with grains is then refused. Small batches are packed
+    into few files and large ones are spread over many: adaptive execution picks the number from the size of the rows.
     """
-    target = path if grain is None else f"{path}/grain={grain_name(grain)}/batch_id={batch_id}"
+    if grain is None:
+        if _has_grains(summary.sparkSession, path):
+            raise ValueError(f"{path} holds summaries by grain; name the grain to add to them")
+        target = path
+    else:
+        target = f"{path}/grain={grain_name(grain)}/run={run}/batch_id={batch_id}"
     writer = summary.hint("rebalance").write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True).option("timestampFormat", _CSV_TIME)
@@ -27,11 +43,16 @@ def write_summary(summary: DataFrame, path: str, fmt="parquet", grain=None, batc
 
 
 def read_summary(spark: SparkSession, path: str, fmt="parquet", grain=None) -> DataFrame:
-    """Read a summary by its fixed schema; with ``grain`` only the folder of that window length is read."""
+    """Read a summary by its fixed schema; with ``grain`` only the folder of that window length is read.
+
+    A dataset with several window lengths is no single table: without ``grain`` it is an error.
+    """
     reader = spark.read.schema(USAGE_SUMMARY).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
     rows = reader.load(path)
     if grain is not None:
         rows = rows.where(F.col("grain") == grain_name(grain))
+    elif "grain" in rows.columns and rows.select("grain").distinct().limit(2).count() > 1:
+        raise ValueError(f"{path} holds summaries of several window lengths; name one as grain")
     return rows.select(*USAGE_SUMMARY.names)

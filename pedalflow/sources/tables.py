@@ -36,15 +36,14 @@ def _events(spark, folder, stream):
 def _with_city(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     """Add the region of the user.
 
-    Customers are joined straight from their table, whose file size tells the optimizer whether to broadcast it. The
-    place tables have 25 and 5 rows at every scale and are always broadcast; a shuffle on 25 nations would be lopsided.
+    All are joined straight from their tables, whose file sizes tell the optimizer what to broadcast.
     """
     users = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    places = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("city")
     )
-    return lookup_join(rows, users, "user_id").join(F.broadcast(places), "c_nationkey", "left").drop("c_nationkey")
+    return lookup_join(rows, users, "user_id").join(places, "c_nationkey", "left").drop("c_nationkey")
 
 
 def located_events(spark: SparkSession, folder: str, kept, city=None, stream=False) -> DataFrame:

@@ -52,8 +52,11 @@ def start_usage_job(
     every=None,
     show=False,
 ) -> StreamingQuery:
-    """Summarize both feeds per window and append final windows to the dataset at ``path``."""
-    summary = usage_from_messages(stream_messages(spark, status), stream_messages(spark, weather), grain, delay)
+    """Summarize both feeds per window and append final windows to the dataset at ``path``.
+
+    Accepted and rejected rows are counted in the query's progress, as ``status_rows`` and ``weather_rows``.
+    """
+    summary = usage_from_messages(stream_messages(spark, status), stream_messages(spark, weather), grain, delay, counts=True)
     also = [show_sorted("usage summary")] if show else []
     return start_summary_sink(summary, path, f"{checkpoint}/summary", grain, fmt, every, also)
 
@@ -84,7 +87,7 @@ def start_enrich_job(
     The station list is read, reduced to the latest record per station and written down once, when the job starts.
     """
     stations = stored(station_snapshot(read_messages(spark, info)), "stations")
-    rows = enrich_status(decoded_status(stream_messages(spark, status)), stations)
+    rows = enrich_status(decoded_status(stream_messages(spark, status), observed="status_rows"), stations)
     return start_files(rows, path, f"{checkpoint}/enriched", every)
 
 

@@ -1,6 +1,8 @@
 """Sinks of the streaming jobs."""
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources.channels import trigger_of
@@ -31,15 +33,22 @@ def show_sorted(label: str, order="window_start"):
     return show
 
 
-def save_summary(path: str, grain: str, fmt="parquet"):
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint, across restarts and as long as the checkpoint lives."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def save_summary(path: str, grain: str, fmt="parquet", checkpoint=None):
     """A batch function that writes each batch to a folder of its own.
 
-    The folder is named by the batch number, so a batch that is run again after a failure replaces its first attempt
-    instead of adding its rows twice.
+    The folder is named by the id of the query and the batch number, so a batch that is run again after a failure
+    replaces its first attempt instead of adding its rows twice, and a new checkpoint, which counts batches from 0
+    again, replaces nothing.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        write_summary(batch, path, fmt, grain, batch_id)
+        run = query_id(batch.sparkSession, checkpoint) if checkpoint else "batch"
+        write_summary(batch, path, fmt, grain, batch_id, run)
 
     return save
 
@@ -69,4 +78,4 @@ def start_summary_sink(
     summary: DataFrame, path: str, checkpoint: str, grain: str, fmt="parquet", every=None, also=()
 ) -> StreamingQuery:
     """Write a summary stream to its dataset; ``also`` are further batch functions, such as :func:`show_sorted`."""
-    return start_batches(summary, [save_summary(path, grain, fmt), *also], checkpoint, every)
+    return start_batches(summary, [save_summary(path, grain, fmt, checkpoint), *also], checkpoint, every)

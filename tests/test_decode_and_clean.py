@@ -152,3 +152,9 @@ def test_documents_to_messages(spark):
     assert {bytes(r.key) for r in weather.collect()} == {b"Rome"}
     sent = op.decode_messages(weather, WEATHER)
     assert rows(sent) == [(50, 30.0, None, None, 0.0, "Rome", 60), (60, None, None, None, None, "Rome", 60)]
+
+
+def test_a_kept_column_may_have_the_name_of_a_field(spark):
+    frame = spark.createDataFrame([('{"timestamp":5,"city":"x"}', 7)], "value string, timestamp int")
+    decoded = op.decode_messages(frame, WEATHER, columns=["timestamp", "city"], keep=["timestamp"])
+    assert [tuple(r) for r in decoded.select("message_timestamp", "timestamp", "city").collect()] == [(7, 5, "x")]

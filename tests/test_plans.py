@@ -113,15 +113,3 @@ def test_row_leads_use_chunks(spark, small):
     assert "WindowGroupLimit" in plan and "Exchange SinglePartition" not in plan
     leads = [line for line in plan.splitlines() if " Window [lead(" in line]
     assert leads and all("[city#" in line and "_chunk#" in line for line in leads)
-
-
-def test_salted_join_shuffles_on_the_salt(spark, small):
-    from pedalflow.sources import tables
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = enrich.salted_join(tables.status(spark, small, q.METRO), q._stations(spark, small), "station_id")
-        plan = plan_of(joined)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert re.search(r"Exchange hashpartitioning\(station_id#\d+, _salt#\d+", plan)

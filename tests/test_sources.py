@@ -83,6 +83,8 @@ def test_summary_dataset(spark, scratch, fmt):
     assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in USAGE_SUMMARY]
     assert back.collect() != [] and bag(back) == bag(half_hours)
     assert sources.read_summary(spark, scratch, fmt, "1 minute").count() == 7
+    with pytest.raises(ValueError, match="several window lengths"):
+        sources.read_summary(spark, scratch, fmt)
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(grain" in plan
 

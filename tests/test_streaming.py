@@ -11,7 +11,7 @@ from pedalflow import sources, streaming
 from pedalflow.operators.decode import CORRUPT
 from pedalflow.plans import queries as q
 from pedalflow.plans.analytics import decoded_status, decoded_weather, usage_from_messages
-from pedalflow.schemas import STATION_INFO, STATION_STATUS, WEATHER
+from pedalflow.schemas import STATION_INFO, STATION_STATUS, USAGE_SUMMARY, WEATHER
 from pedalflow.session import ROCKSDB, state_partitions
 
 DAYS = [("2024-01-01", "2024-01-03"), ("2024-01-03", "2024-01-05"), ("2024-01-05", "2024-01-08")]
@@ -201,18 +201,39 @@ def test_enrich_job(spark, feeds, scratch):
     assert got.where(~even & F.col("capacity").isNotNull()).isEmpty() and got.where(~even).count() > 0
 
 
-def test_large_lookup_is_salted_on_a_stream(spark, feeds, scratch, monkeypatch):
-    from pedalflow.operators import enrich
-
-    monkeypatch.setattr(enrich, "BROADCAST_ROWS", 1)
-    status = staged(feeds, scratch, DAYS[:1])[0]
-    stations = decoded_status(feeds[0]).select("station_id").distinct().withColumn("capacity", F.lit(3))
-    joined = op.enrich_status(decoded_status(sources.stream_messages(spark, status)), stations)
-    streaming.finish(streaming.start_files(joined, f"{scratch}/out", f"{scratch}/progress"))
-    got = spark.read.parquet(f"{scratch}/out")
-    sent = decoded_status(sources.read_messages(spark, sources.file_channel(status.place)))
-    columns = [*STATION_STATUS.names, "capacity"]
-    assert bag(got, *columns) == bag(sent.withColumn("capacity", F.lit(3)), *columns)
+def test_two_checkpoints_keep_each_other_s_rows(spark, scratch):
+    out = f"{scratch}/out"
+    for k in range(2):
+        begin = F.timestamp_seconds(F.lit(1_700_000_000 + 100_000 * k) + F.col("id") * 1800)
+        windows = spark.range(8).select(begin.alias("window_start"), begin.alias("window_end"), F.lit("x").alias("city"), *[F.lit(0.5).alias(c) for c in USAGE_SUMMARY.names[3:]])
+        windows.write.parquet(f"{scratch}/in{k}")
+        stream = spark.readStream.schema(USAGE_SUMMARY).parquet(f"{scratch}/in{k}")
+        streaming.finish(streaming.start_summary_sink(stream, out, f"{scratch}/progress{k}", "30 minutes"))
+    assert sources.read_summary(spark, out, grain="30 minutes").count() == 16
+    sources.write_summary(spark.read.schema(USAGE_SUMMARY).parquet(f"{scratch}/in0").limit(3), out, grain="30 minutes")
+    assert sources.read_summary(spark, out).count() == 19
+    with pytest.raises(ValueError):
+        sources.write_summary(spark.read.schema(USAGE_SUMMARY).parquet(f"{scratch}/in0"), out)
+
+
+def test_one_absurd_time_does_not_silence_a_stream(spark, scratch):
+    """Twenty half hours in three files, one row of the first file stamped 2100."""
+    base, sent = 1_700_000_000 // 1800 * 1800, F.timestamp_seconds(F.lit(1_700_100_000))
+    channels = {}
+    for kind in ("status", "weather"):
+        for k, part in enumerate((range(0, 7), range(7, 14), range(14, 21))):
+            times = [base + 1800 * w for w in part] + ([4_102_444_800] if k == 0 and kind == "status" else [])
+            fields = '"station_id":"1","num_bikes_available":1,"num_docks_available":1' if kind == "status" else '"temperature":1.0'
+            rows_in = [(f'{{{fields},"city":"x","event_timestamp":{t}}}',) for t in times]
+            frame = spark.createDataFrame(rows_in, "value string").coalesce(1)
+            frame = frame.select(F.lit("1").alias("key"), "value", sent.alias("timestamp"), F.lit(0).cast("long").alias("offset"))
+            sources.write_messages(frame.withColumn("value", F.col("value").cast("binary")).withColumn("key", F.col("key").cast("binary")), sources.file_channel(f"{scratch}/{kind}"))
+        channels[kind] = sources.file_channel(f"{scratch}/{kind}", maxFilesPerTrigger="1")
+    query = streaming.start_usage_job(spark, channels["status"], channels["weather"], f"{scratch}/out", f"{scratch}/progress")
+    streaming.finish(query)
+    assert sources.read_summary(spark, f"{scratch}/out", grain="30 minutes").count() >= 19
+    seen = [p.observedMetrics["status_rows"] for p in query.recentProgress if "status_rows" in p.observedMetrics]
+    assert sum(r["bad_time"] for r in seen) == 1 and sum(r["loaded"] for r in seen) == 21
 
 
 def test_publishers(spark, scratch):

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from helpers import bag, epoch, rows, utc
 from pedalflow import operators as op
-from pedalflow.operators.enrich import salted_join
 from pedalflow.plans.analytics import station_snapshot
 
 
@@ -131,13 +130,3 @@ def test_enriched_status_keeps_rows_and_counts(spark):
     stations = op.latest_by_key(stations, "station_id", "offset").drop("offset")
     expected = [(None, 8, None), ("1", 5, "b"), ("1", 6, "b"), ("9", 7, None)]
     assert rows(op.enrich_status(facts, stations), "station_id", "n", "name") == expected
-    assert rows(salted_join(facts, stations, "station_id", 5), "station_id", "n", "name") == expected
-
-
-def test_salt_spreads_identical_rows(spark):
-    facts = spark.range(0, 800, 1, 8).select(F.lit("hot").alias("station_id"), F.lit(1).alias("n"))
-    stations = spark.createDataFrame([("hot", 3)], "station_id string, capacity int")
-    joined = salted_join(facts, stations, "station_id", 4)
-    assert bag(joined) == {("hot", 1, 3): 800}
-    salted = facts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(4)))
-    assert sorted(r["count"] for r in salted.groupBy("_salt").count().collect()) == [200] * 4
