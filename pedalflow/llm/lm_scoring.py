@@ -152,8 +152,8 @@ def scored(docs: DataFrame) -> DataFrame:
     kind = df.schema["doc_id"].dataType.simpleString()
     chars = df.agg(F.sum(F.length("text"))).first()[0] or 0
     places = max(1, chars // (6 * PLACE) + 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # A word is split only if it would fill several places: each of its records then travels twice.
-    frequent = _frequent(df, max(FREQUENT, 4 / places))
+    # A word is split only if it would fill a place and more: each of its records then travels twice.
+    frequent = _frequent(df, max(FREQUENT, 1.5 / places))
     known = df.sparkSession.sparkContext.broadcast(frequent)
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
