@@ -9,19 +9,24 @@ b. So one shuffle brings count tables and exploded n-grams together: a record th
 after b, and how b scores by itself where a b is met nowhere else. Documents then add up what their records scored.
 
 Records of a place travel as packed columns: different words once, records as numbers in order of the middle word,
-compressed. Very frequent words, found in a bounded sample and counted exactly, are split: by the word before for counts
-of a b, by the word after for counts of b c.
+compressed.
+
+A word with more records than a place should hold is split: by the word before for counts of a b, by the word after for
+counts of b c. Where that pair is as frequent, its records are split by the third word, and where all three are, by
+document. Such n-grams are found in a bounded sample of documents and then counted exactly over all, so their counts are
+known in every place, and the number of ways they are split grows with their counts. One missed by the sample is only
+slower.
 
 Defined cases: a null or empty text has no words and a null score; repeated rows share one doc_id and are scored
 together; a row without doc_id counts for others and is scored under null; an empty table is empty.
 """
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -32,20 +37,39 @@ from pedalflow.llm.shingles import word_bytes
 from pedalflow.session import stored
 
 BACKOFF = 0.4
-#: Words in a place, on average; documents of the sample for frequent words, and the least share that makes a word frequent.
-PLACE = 2_000_000
+#: Records in a place, on average, and characters that a task turns into records at once.
+PLACE = 1_000_000
+SLICE_CHARS = 16_000_000
+#: Documents of the sample for frequent n-grams: so many, or as have SIGHTINGS / share words, where share is that of a
+#: place. At FREQUENT it stops falling, which bounds the sample and the list of frequent n-grams (1 / FREQUENT a length).
 SAMPLE = 2_000
-FREQUENT = 0.002
-#: Ways that a frequent word is split.
-WAYS = 16
+SIGHTINGS = 50
+FREQUENT = 1e-5
 EDGE = 0
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    found = word_bytes(text)
-    return np.fromiter((digest(w) | 1 for w in found), np.uint64, len(found))
+class _Numbers(dict):
+    """Numbers for words, in order of their first use."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+class Frequent:
+    """Exact counts of the frequent n-grams of one length, by hash."""
+
+    def __init__(self, counts: dict[int, int]):
+        self.keys = np.array(sorted(counts), np.uint64)
+        self.counts = np.array([counts[k] for k in sorted(counts)], np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The count of each key, 0 for those that are not frequent."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.counts[at], 0)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -53,176 +77,241 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _pack(a: np.ndarray, b: np.ndarray, c: np.ndarray, doc: np.ndarray) -> bytes:
+def _joint(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hash of an n-gram x with y after it."""
+    return _mixed(_mixed(x) + np.uint64(3) * y)
+
+
+class _Slice:
+    """The records of some texts: words as numbers into ``names``, their ascending hashes; ``names[0]`` is EDGE."""
+
+    def __init__(self, texts: list[str | None]):
+        numbers = _Numbers()
+        found = [np.fromiter(map(numbers.__getitem__, w), np.int32, len(w)) for w in map(word_bytes, texts)]
+        self.sizes = np.array([len(f) for f in found], np.int64)
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w) | 1 for w in numbers), np.uint64, len(numbers))
+        # Two words of one hash are one word everywhere.
+        self.names, number = np.unique(np.concatenate((np.array([EDGE], np.uint64), hashes)), return_inverse=True)
+        self.b = number.astype(np.int32)[1:][np.concatenate(found)] if found else np.zeros(0, np.int32)
+        stops = np.cumsum(self.sizes)[self.sizes > 0]
+        starts = stops - self.sizes[self.sizes > 0]
+        self.a, self.c = np.roll(self.b, 1), np.roll(self.b, -1)
+        self.a[starts] = self.c[stops - 1] = EDGE
+        self.owner = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        #: Whether the word is its text's second: its context has one word.
+        self.second = np.zeros(len(self.b), bool)
+        self.second[starts[stops - starts > 1] + 1] = True
+
+    def keys(self, rows: np.ndarray, length: int, after: bool = False) -> np.ndarray:
+        """Hashes of b, of a b (or b c), or of a b c."""
+        b = self.names[self.b[rows]]
+        if length == 1:
+            return b
+        if length == 2:
+            return _joint(b, self.names[self.c[rows]]) if after else _joint(self.names[self.a[rows]], b)
+        return _joint(_joint(self.names[self.a[rows]], b), self.names[self.c[rows]])
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of SLICE_CHARS bytes of text or a single row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + SLICE_CHARS, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
+def _pack(names: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, doc: np.ndarray) -> bytes:
     """Records sorted by middle word, as places in a list of the different words."""
     order = np.lexsort((doc, b))
-    vocabulary, places = np.unique(np.concatenate((a[order], b[order], c[order])), return_inverse=True)
-    head = np.array([len(vocabulary), len(a)], np.uint64).tobytes()
-    places = places.astype(np.uint32).view(np.uint8).reshape(3, -1, 4)
-    # Bytes of equal weight together compress best; vocabulary is ascending.
-    columns = [np.ascontiguousarray(p.T).tobytes() for p in places]
-    docs = np.ascontiguousarray(doc[order].astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + vocabulary.tobytes() + b"".join(columns) + docs)
+    columns = [x[order] for x in (a, b, c)]
+    used = np.zeros(len(names), bool)
+    used[0] = True
+    for x in columns:
+        used[x] = True
+    place = np.cumsum(used, dtype=np.uint32) - np.uint32(1)
+    head = np.array([used.sum(), len(a)], np.uint64).tobytes()
+    # Bytes of equal weight together compress best; names are ascending.
+    planes = [np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes() for x in (*[place[x] for x in columns], doc[order])]
+    return zstandard.ZstdCompressor(level=3).compress(head + names[used].tobytes() + b"".join(planes))
 
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(blob: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The different words, and a, b, c as places in them and doc."""
     raw = zstandard.ZstdDecompressor().decompress(blob)
     size, n = np.frombuffer(raw, np.uint64, 2).tolist()
-    vocabulary = np.frombuffer(raw, np.uint64, size, 16)
-    at, columns = 16 + 8 * size, []
-    for _ in range(4):
-        part = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n)
-        columns.append(np.ascontiguousarray(part.T).view(np.uint32).ravel())
-        at += 4 * n
-    return vocabulary[columns[0]], vocabulary[columns[1]], vocabulary[columns[2]], columns[3]
-
-
-def _counts(*keys: np.ndarray) -> np.ndarray:
-    """For each record, how many records have the same keys."""
-    order = np.lexsort(keys)
-    fresh = np.zeros(len(order), bool)
-    if len(order):
-        fresh[0] = True
-    for key in keys:
-        sorted_key = key[order]
-        fresh[1:] |= sorted_key[1:] != sorted_key[:-1]
-    group = np.cumsum(fresh) - 1
-    out = np.empty(len(order), np.int64)
-    out[order] = np.bincount(group)[group] if len(order) else 0
-    return out
-
-
-def settled(a: np.ndarray, b: np.ndarray, c: np.ndarray, second: np.ndarray, role: str, total: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(raw, np.uint8, 16 * n, 16 + 8 * size).reshape(4, 4, n)
+    return np.frombuffer(raw, np.uint64, size, 16), [np.ascontiguousarray(p.T).view(np.uint32).ravel() for p in planes]
+
+
+def _groups(first: np.ndarray, then: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each record among those equal in both 32-bit keys, and its size."""
+    key = first.astype(np.uint64) << np.uint64(32) | then
+    order = np.argsort(key)
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = np.diff(key[order]) != 0
+    group = np.empty(len(key), np.uint32)
+    group[order] = np.cumsum(fresh, dtype=np.uint32) - np.uint32(1)
+    return group, np.bincount(group)[group] if len(group) else np.zeros(0, np.int64)
+
+
+def settled(
+    names: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, second: np.ndarray, role: str, frequent: list[Frequent]
+) -> tuple[np.ndarray, np.ndarray]:
     """What each record adds to its document: log score without the size of the corpus, and how often that is due.
 
-    ``second`` marks words with a single word before them in their text.
-    ``role`` says which counts are whole here: "all"; "before", where only those of a b are; "after", where only those
-    of b c are. ``total`` has the count of b where the place does not hold all of it.
+    ``a``, ``b`` and ``c`` are 32-bit places in ``names``, of which the first is EDGE; ``second`` marks words with a single word before them in their
+    text. ``role`` says which counts are whole here: "all"; "before", where only those of a b are; "after", where only
+    those of b c are. Counts of ``frequent`` n-grams are known and need not be whole.
     """
-    of_b = total if total is not None else _counts(b)
-    of_abc = _counts(c, a, b)
-    inner, outer = a != EDGE, c != EDGE
+    words, pairs, triples = frequent
+    known = words(names)[b]
+    of_b = np.where(known > 0, known, np.bincount(b, minlength=len(names))[b])
+    ab, of_ab = _groups(a, b)
+    of_abc = _groups(ab, c)[1]
+    if len(pairs.keys):
+        hot = np.nonzero(known)[0]
+        before = _joint(names[a[hot]], names[b[hot]])
+        known = pairs(before)
+        of_ab[hot] = np.where(known > 0, known, of_ab[hot])
+        known = triples(_joint(before, names[c[hot]]))
+        of_abc[hot] = np.where(known > 0, known, of_abc[hot])
+    inner, outer = a > 0, c > 0
     three = inner & outer & (of_abc > 1)
     score, due = np.zeros(len(a)), np.zeros(len(a), np.int64)
     if role != "after":
-        of_ab = _counts(a, b)
         score[three] += np.log((of_abc[three] - 1) / (of_ab[three] - 1))
         alone = ~inner | (of_ab <= 1)
         weight = np.where(~inner, 0, np.where(second, 1, 2)) * math.log(BACKOFF)
         score[alone] += weight[alone] + np.log(np.maximum(of_b[alone] - 1, 0.5))
         due[alone] += 1
     if role != "before":
-        of_bc = _counts(c, b)
+        of_bc = _groups(b, c)[1]
+        if len(pairs.keys):
+            known = pairs(_joint(names[b[hot]], names[c[hot]]))
+            of_bc[hot] = np.where(known > 0, known, of_bc[hot])
         two = outer & ~three & (of_bc > 1)
         score[two] += np.where(inner[two], math.log(BACKOFF), 0.0) + np.log((of_bc[two] - 1) / (of_b[two] - 1))
     return score, due
 
 
-def _frequent(docs: DataFrame, share: float) -> dict[int, int]:
-    """Hash and exact count of words that make up over ``share`` of a bounded sample: 1 / share words at most."""
+def _tallied(spec: list[Frequent] | None):
+    """Counts of n-grams by length and hash: all of them, or those in ``spec``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            part = _Slice(batch.column("text").to_pylist())
+            rows = np.arange(len(part.b))
+            for length in (1, 2, 3):
+                if spec and not len(spec[length - 1].keys):
+                    break
+                keys = part.keys(rows, length)
+                if length == 2:  # a pair is counted at its second word, or at its first where a text ends
+                    keys = np.concatenate((keys, part.keys(rows[part.c[rows] == EDGE], 2, after=True)))
+                if spec:
+                    keys = keys[spec[length - 1](keys) > 0]
+                found, n = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), length, np.int32)), pa.array(found.view(np.int64)), pa.array(n)], ["length", "key", "n"])
+                if spec and length == 1:
+                    rows = rows[spec[0](part.names)[part.b[rows]] > 0]
 
-    def tally(only: frozenset | None):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts: Counter = Counter()
-            for batch in batches:
-                for text in batch.column("text").to_pylist():
-                    found = word_bytes(text)
-                    counts.update(found if only is None else [w for w in found if w in only])
-            if only is None:
-                counts[b""] = sum(counts.values())
-            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+    return run
 
-        return run
 
-    chosen = docs.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(SAMPLE).distinct()
+def _frequent(docs: DataFrame, share: float, size: int) -> list[Frequent]:
+    """Exact counts of words, pairs and triples that make up over ``share`` of a bounded sample of ``size`` documents."""
+    columns = "length int, key bigint, n bigint"
+    chosen = docs.where("doc_id is not null").select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(size).distinct()
     sample = docs.select("text", F.xxhash64("doc_id").alias("d")).join(chosen, F.expr("d = h"), "left_semi").select("text")
-    found = sample.mapInArrow(tally(None), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    found = stored(found, "words")
-    total = found.where(F.length("word") == 0).agg(F.sum("n")).first()[0] or 0
-    names = [bytes(r["word"]) for r in found.where((F.length("word") > 0) & (F.col("n") > share * total)).collect()]
+    found = stored(sample.mapInArrow(_tallied(None), columns).groupBy("length", "key").agg(F.sum("n").alias("n")), "ngrams")
+    total = found.where("length = 1").agg(F.sum("n")).first()[0] or 0
+    names = found.where(F.col("n") > share * total).collect()
+
+    def by_length(rows: list) -> list[Frequent]:
+        return [Frequent({r["key"] % 2**64: r["n"] for r in rows if r["length"] == k}) for k in (1, 2, 3)]
+
+    spec = by_length(names)
     if not names:
-        return {}
-    exact = docs.select("text").mapInArrow(tally(frozenset(names)), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return {xxhash.xxh64_intdigest(bytes(r["word"])) | 1: r["n"] for r in exact.collect()}
+        return spec
+    return by_length(docs.select("text").mapInArrow(_tallied(spec), columns).groupBy("length", "key").agg(F.sum("n").alias("n")).collect())
+
+
+def _places(part: _Slice, frequent: list[Frequent], place: int, places: int) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Role, records and their places. A frequent n-gram is dealt in as many ways as it would fill half places."""
+    words, pairs, triples = frequent
+    home = _mixed(part.names)
+    of_word = words(part.names)
+    hot = of_word[part.b] > 0
+    rows = np.nonzero(~hot)[0]
+    yield "all", rows, (home % np.uint64(places)).astype(np.int32)[part.b[rows]]
+    rows = np.nonzero(hot)[0]
+
+    def dealt(base: np.ndarray, counts: np.ndarray, by: np.ndarray) -> np.ndarray:
+        return _mixed(base + by % (1 + 2 * counts // place).astype(np.uint64))
+
+    for role, near, far in (("before", part.a, part.c), ("after", part.c, part.a)):
+        key = dealt(home[part.b[rows]], of_word[part.b[rows]], home[near[rows]])
+        if len(pairs.keys):
+            pair = part.keys(rows, 2, after=role == "after")
+            counts = pairs(pair)
+            key = np.where(counts > 0, dealt(pair, counts, home[far[rows]]), key)
+            triple = part.keys(rows, 3)
+            counts = triples(triple)
+            key = np.where(counts > 0, dealt(triple, counts, _mixed(part.owner[rows].astype(np.uint64))), key)
+        yield role, rows, (key % np.uint64(places)).astype(np.int32)
 
 
-def scored(docs: DataFrame) -> DataFrame:
+def scored(docs: DataFrame, place: int = PLACE) -> DataFrame:
     """doc_id, n_tokens, ``log_score`` summed over the words of the document, and ``per_token``, its mean."""
     df = picked(docs, doc_id="doc_id", text="text")
     kind = df.schema["doc_id"].dataType.simpleString()
-    chars = df.agg(F.sum(F.length("text"))).first()[0] or 0
-    places = max(1, chars // (6 * PLACE) + 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # A word is split only if it would fill a place and more: each of its records then travels twice.
-    frequent = _frequent(df, max(FREQUENT, 1.5 / places))
+    first = df.agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("docs")).first()
+    guess = (first["chars"] or 0) // 6 + 1
+    places = max(guess // place + 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # An n-gram is split only if it would fill a place: records of a split word travel twice.
+    share = max(FREQUENT, 1 / places)
+    frequent = _frequent(df, share, max(SAMPLE, int(SIGHTINGS / share * first["docs"] / guess)))
     known = df.sparkSession.sparkContext.broadcast(frequent)
+    names = ["place", "role", "packed", "docs"]
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = np.array(sorted(known.value), np.uint64)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 4000):
-                part = batch.slice(k, 4000)
-                hashes = [word_hashes(t) for t in part.column("text").to_pylist()]
-                sizes = np.array([len(h) for h in hashes])
-                words = np.concatenate(hashes)
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                ids = part.column("doc_id")
-                # Token counts travel with the scores, under place -1.
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([-1], pa.int32()), pa.array([""]), pa.array([sizes.astype(np.int64).tobytes()], pa.binary()), pa.array([ids.to_pylist()], pa.list_(ids.type))],
-                    ["place", "role", "packed", "docs"],
-                )
-                if not len(words):
-                    continue
-                edges = np.cumsum(sizes)[sizes > 0]
-                starts = np.zeros(len(words), bool)
-                starts[edges[:-1]] = True
-                starts[0] = True
-                stops = np.zeros(len(words), bool)
-                stops[edges - 1] = True
-                a = np.where(starts, np.uint64(EDGE), np.roll(words, 1))
-                c = np.where(stops, np.uint64(EDGE), np.roll(words, -1))
-                # Whether the word is its text's second: its context has one word. Kept as the lowest bit of the document.
-                second = np.roll(starts, 1) & ~starts
-                doc = owner * 2 + second
-                hot = np.isin(words, often)
-                home = _mixed(words)
-                for role, rows, key in (
-                    ("all", ~hot, home),
-                    ("before", hot, _mixed(home ^ (_mixed(a) % np.uint64(WAYS)))),
-                    ("after", hot, _mixed(home ^ (_mixed(c) % np.uint64(WAYS)))),
-                ):
-                    where = np.nonzero(rows)[0]
-                    place = (key[where] % np.uint64(places)).astype(np.int32)
-                    order = np.argsort(place, kind="stable")
-                    cuts = np.searchsorted(place[order], np.arange(places + 1))
-                    for p in np.nonzero(np.diff(cuts))[0].tolist():
-                        mine = where[order[cuts[p] : cuts[p + 1]]]
-                        # Documents are numbered anew within a blob, so that only those it names travel.
-                        named, near = np.unique(doc[mine] >> 1, return_inverse=True)
-                        blob = _pack(a[mine], words[mine], c[mine], near * 2 + (doc[mine] & 1))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([p], pa.int32()), pa.array([role]), pa.array([blob], pa.binary()), pa.array([ids.take(pa.array(named)).to_pylist()], pa.list_(ids.type))],
-                            ["place", "role", "packed", "docs"],
-                        )
+        for batch in _slices(batches):
+            part, ids = _Slice(batch.column("text").to_pylist()), batch.column("doc_id")
+            # Token counts travel with the scores, under place -1.
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([""]), pa.array([part.sizes.tobytes()], pa.binary()), pa.array([ids.to_pylist()], pa.list_(ids.type))], names)
+            for role, rows, at in _places(part, known.value, place, places):
+                order = np.argsort(at, kind="stable")
+                cuts = np.searchsorted(at[order], np.arange(places + 1))
+                for p in np.nonzero(np.diff(cuts))[0].tolist():
+                    mine = rows[order[cuts[p] : cuts[p + 1]]]
+                    # Documents are numbered anew within a blob, so that only those it names travel.
+                    named, near = np.unique(part.owner[mine], return_inverse=True)
+                    blob = _pack(part.names, part.a[mine], part.b[mine], part.c[mine], near * 2 + part.second[mine])
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([role]), pa.array([blob], pa.binary()), pa.array([ids.take(pa.array(named)).to_pylist()], pa.list_(ids.type))], names)
 
     def settle(key: tuple, group: pa.Table) -> pa.Table:
-        place, role = key[0].as_py(), key[1].as_py()
         lists = group.column("docs").combine_chunks()
         ids = lists.flatten()
-        blobs = group.column("packed").to_pylist()
-        if place < 0:
-            tokens = np.concatenate([np.frombuffer(b, np.int64) for b in blobs])
+        blobs = group.column("packed")
+        if key[0].as_py() < 0:
+            tokens = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in blobs])
             return pa.table({"doc_id": ids, "score": pa.array(np.zeros(len(tokens))), "due": pa.array(np.zeros(len(tokens), np.int64)), "n": pa.array(tokens)})
-        a, b, c, doc = zip(*[_unpack(x) for x in blobs], strict=True)
-        starts = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
-        owner = np.concatenate([(d >> 1) + s for d, s in zip(doc, starts.tolist(), strict=True)])
-        second = np.concatenate([(d & 1).astype(bool) for d in doc])
-        a, b, c = np.concatenate(a), np.concatenate(b), np.concatenate(c)
-        total = None
-        if role != "all":
-            names, back = np.unique(b, return_inverse=True)
-            total = np.array([known.value[x] for x in names.tolist()])[back]
-        score, due = settled(a, b, c, second, role, total)
+        words, parts = [], []
+        starts = (lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()).astype(np.uint32)
+        for blob, start in zip(blobs, starts, strict=True):
+            own, (a, b, c, doc) = _unpack(blob.as_py())
+            words.append(own)
+            parts.append((a, b, c, (doc >> 1) + start, (doc & 1).astype(bool)))
+        vocabulary, place_of = np.unique(np.concatenate(words), return_inverse=True)
+        cuts = np.cumsum([len(w) for w in words])[:-1]
+        own = np.split(place_of.astype(np.uint32), cuts)
+        a, b, c = (np.concatenate([o[p[k]] for o, p in zip(own, parts, strict=True)]) for k in range(3))
+        owner, second = (np.concatenate([p[k] for p in parts]) for k in (3, 4))
+        del words, parts, own, place_of
+        score, due = settled(vocabulary, a, b, c, second, key[1].as_py(), known.value)
         sums = np.bincount(owner, score, len(ids)), np.bincount(owner, due, len(ids)).astype(np.int64)
         return pa.table({"doc_id": ids, "score": pa.array(sums[0]), "due": pa.array(sums[1]), "n": pa.array(np.zeros(len(ids), np.int64))})
 

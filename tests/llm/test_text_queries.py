@@ -5,10 +5,11 @@ import zlib
 from collections import Counter
 
 import duckdb
+import pyarrow as pa
 import pytest
 from helpers_llm import brute, column, rows
 
-from pedalflow.llm import queries
+from pedalflow.llm import lm_scoring, queries
 from pedalflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -117,6 +118,26 @@ def test_op2_scores_are_those_of_brute_force(spark, documents):
         assert found[i]["log_score"] == (pytest.approx(score, rel=1e-9) if n else None)
 
 
+def test_op2_split_ngrams_score_the_same(spark, docs_of):
+    """One word, pair and triple in most records: each is split, down to the document."""
+    texts = ["up we go " * (5 + i % 3) + f"then {i % 7} home" for i in range(60)] + ["up", "we go up", "", None, "go go go go"]
+    found = rows(lm_scoring.scored(docs_of(list(enumerate(texts))), place=20), "doc_id")
+    frequent = lm_scoring._frequent(docs_of(list(enumerate(texts))), 0.05, 100)
+    assert all(len(f.keys) for f in frequent)
+    for i, (n, score) in brute.backoff(dict(enumerate(texts))).items():
+        assert found[i]["n_tokens"] == n
+        assert found[i]["log_score"] == (pytest.approx(score, rel=1e-9) if n else None)
+
+
+def test_op2_slices_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SLICE_CHARS", 10)
+    texts = ["abc", None, "x" * 50, "", "abcdefghij", "k", "ll"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+    parts = [p.column("text").to_pylist() for p in lm_scoring._slices([batch])]
+    assert sum(parts, []) == texts and len(parts) > 3
+    assert all(len(p) == 1 or sum(len(t or "") for t in p) <= 10 for p in parts)
+
+
 def test_op3_url_filter(spark):
     pages = rows(spark.read.parquet(f"{SF}/pages.parquet"), "page_id")
     found = rows(QUERIES["op3_url_filter"](spark, SF), "page_id")
