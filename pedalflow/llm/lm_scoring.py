@@ -8,8 +8,10 @@ middle word b. In that place are all counts that have b in the middle, at the en
 b. So one shuffle brings count tables and exploded n-grams together: a record there settles how c scores after a b and
 after b, and how b scores by itself where a b is met nowhere else. Documents then add up what their records scored.
 
-Records of a place travel as packed columns: different words once, records as numbers in order of the middle word,
-compressed.
+Records of a place travel as packed columns: common words of a bounded sample as numbers known everywhere, other words
+as one hash each, records as numbers in order of the middle word, compressed. What they scored goes back, packed too, to
+the slice of documents they came from, so no document becomes a row for each place. A slice is known by its ids, so the
+rows of a task should come in the same order when it runs again, as those of a stored table do.
 
 A word with more records than a place should hold is split: by the word before for counts of a b, by the word after for
 counts of b c. Where that pair is as frequent, its records are split by the third word, and where all three are, by
@@ -38,8 +40,11 @@ from pedalflow.session import stored
 
 BACKOFF = 0.4
 #: Records in a place, on average, and characters that a task turns into records at once.
-PLACE = 1_000_000
+PLACE = 2_000_000
 SLICE_CHARS = 16_000_000
+#: Records of a place that are settled at once, and words that travel as numbers.
+PART = 500_000
+COMMON = 65_536
 #: Documents of the sample for frequent n-grams: so many, or as have SIGHTINGS / share words, where share is that of a
 #: place. At FREQUENT it stops falling, which bounds the sample and the list of frequent n-grams (1 / FREQUENT a length).
 SAMPLE = 2_000
@@ -124,27 +129,51 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = last
 
 
-def _pack(names: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, doc: np.ndarray) -> bytes:
-    """Records sorted by middle word, as places in a list of the different words."""
+def _planes(x: np.ndarray, width: int) -> bytes:
+    """Bytes of equal weight together: they compress best."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, width).T).tobytes()
+
+
+def _from_planes(raw: bytes, kind: type, n: int, at: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(raw, np.uint8, width * n, at).reshape(width, n).T.copy().view(kind).ravel()
+
+
+def _numbered(names: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each name: 0 for EDGE, then the common words, then the others; and the others, ascending."""
+    order = np.argsort(common)
+    number = np.zeros(len(names), np.uint32)
+    other = names != EDGE
+    if len(common):
+        at = np.minimum(np.searchsorted(common[order], names), len(common) - 1)
+        met = common[order][at] == names
+        number[met] = order[at[met]] + 1
+        other &= ~met
+    number[other] = len(common) + 1 + np.arange(other.sum())
+    return number, names[other]
+
+
+def _pack(others: np.ndarray, shared: int, a: np.ndarray, b: np.ndarray, c: np.ndarray, doc: np.ndarray) -> bytes:
+    """Records sorted by middle word; numbers beyond those ``shared`` everywhere are places in a list of other words."""
     order = np.lexsort((doc, b))
     columns = [x[order] for x in (a, b, c)]
-    used = np.zeros(len(names), bool)
-    used[0] = True
+    used = np.zeros(len(others), bool)
+    for x in columns:
+        used[x[x >= shared] - shared] = True
+    place = np.cumsum(used, dtype=np.uint32) + np.uint32(shared - 1)
     for x in columns:
-        used[x] = True
-    place = np.cumsum(used, dtype=np.uint32) - np.uint32(1)
+        x[x >= shared] = place[x[x >= shared] - shared]
     head = np.array([used.sum(), len(a)], np.uint64).tobytes()
-    # Bytes of equal weight together compress best; names are ascending.
-    planes = [np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes() for x in (*[place[x] for x in columns], doc[order])]
-    return zstandard.ZstdCompressor(level=3).compress(head + names[used].tobytes() + b"".join(planes))
+    steps = np.diff(others[used], prepend=np.uint64(0))
+    return zstandard.ZstdCompressor(level=3).compress(head + _planes(steps, 8) + b"".join(_planes(x.astype(np.uint32), 4) for x in (*columns, doc[order])))
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The different words, and a, b, c as places in them and doc."""
+    """The other words, and a, b, c and doc."""
     raw = zstandard.ZstdDecompressor().decompress(blob)
     size, n = np.frombuffer(raw, np.uint64, 2).tolist()
-    planes = np.frombuffer(raw, np.uint8, 16 * n, 16 + 8 * size).reshape(4, 4, n)
-    return np.frombuffer(raw, np.uint64, size, 16), [np.ascontiguousarray(p.T).view(np.uint32).ravel() for p in planes]
+    others = np.cumsum(_from_planes(raw, np.uint64, size, 16), dtype=np.uint64)
+    return others, [_from_planes(raw, np.uint32, n, 16 + 8 * size + 4 * n * k) for k in range(4)]
 
 
 def _groups(first: np.ndarray, then: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,22 +250,27 @@ def _tallied(spec: list[Frequent] | None):
     return run
 
 
-def _frequent(docs: DataFrame, share: float, size: int) -> list[Frequent]:
-    """Exact counts of words, pairs and triples that make up over ``share`` of a bounded sample of ``size`` documents."""
+def _frequent(docs: DataFrame, share: float, size: int) -> tuple[list[Frequent], np.ndarray]:
+    """Exact counts of words, pairs and triples that make up over ``share`` of a bounded sample of ``size`` documents.
+
+    Also the hashes of its COMMON most frequent words that it has twice at least.
+    """
     columns = "length int, key bigint, n bigint"
     chosen = docs.where("doc_id is not null").select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(size).distinct()
     sample = docs.select("text", F.xxhash64("doc_id").alias("d")).join(chosen, F.expr("d = h"), "left_semi").select("text")
     found = stored(sample.mapInArrow(_tallied(None), columns).groupBy("length", "key").agg(F.sum("n").alias("n")), "ngrams")
     total = found.where("length = 1").agg(F.sum("n")).first()[0] or 0
     names = found.where(F.col("n") > share * total).collect()
+    common = found.where("length = 1 and n > 1").orderBy(F.desc("n"), "key").limit(COMMON).select("key").collect()
+    common = np.array([r["key"] for r in common], np.int64).view(np.uint64)
 
     def by_length(rows: list) -> list[Frequent]:
         return [Frequent({r["key"] % 2**64: r["n"] for r in rows if r["length"] == k}) for k in (1, 2, 3)]
 
     spec = by_length(names)
     if not names:
-        return spec
-    return by_length(docs.select("text").mapInArrow(_tallied(spec), columns).groupBy("length", "key").agg(F.sum("n").alias("n")).collect())
+        return spec, common
+    return by_length(docs.select("text").mapInArrow(_tallied(spec), columns).groupBy("length", "key").agg(F.sum("n").alias("n")).collect()), common
 
 
 def _places(part: _Slice, frequent: list[Frequent], place: int, places: int) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
@@ -273,52 +307,81 @@ def scored(docs: DataFrame, place: int = PLACE) -> DataFrame:
     places = max(guess // place + 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # An n-gram is split only if it would fill a place: records of a split word travel twice.
     share = max(FREQUENT, 1 / places)
-    frequent = _frequent(df, share, max(SAMPLE, int(SIGHTINGS / share * first["docs"] / guess)))
-    known = df.sparkSession.sparkContext.broadcast(frequent)
-    names = ["place", "role", "packed", "docs"]
+    known = df.sparkSession.sparkContext.broadcast(_frequent(df, share, max(SAMPLE, int(SIGHTINGS / share * first["docs"] / guess))))
+    fields = ["place", "role", "slice", "packed", "docs"]
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, common = known.value
         for batch in _slices(batches):
             part, ids = _Slice(batch.column("text").to_pylist()), batch.column("doc_id")
-            # Token counts travel with the scores, under place -1.
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([""]), pa.array([part.sizes.tobytes()], pa.binary()), pa.array([ids.to_pylist()], pa.list_(ids.type))], names)
-            for role, rows, at in _places(part, known.value, place, places):
+            # Slices of equal ids may well be summed as one: each place in them has the same doc_id.
+            slice_id = pa.array([xxhash.xxh64_intdigest(repr(ids.to_pylist())) - 2**63], pa.int64())
+            # Ids and token counts, under place -1.
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([""]), slice_id, pa.array([part.sizes.tobytes()], pa.binary()), pa.array([ids.to_pylist()], pa.list_(ids.type))], fields)
+            number, others = _numbered(part.names, common)
+            a, b, c, doc = number[part.a], number[part.b], number[part.c], part.owner * 2 + part.second
+            for role, rows, at in _places(part, frequent, place, places):
                 order = np.argsort(at, kind="stable")
                 cuts = np.searchsorted(at[order], np.arange(places + 1))
                 for p in np.nonzero(np.diff(cuts))[0].tolist():
                     mine = rows[order[cuts[p] : cuts[p + 1]]]
-                    # Documents are numbered anew within a blob, so that only those it names travel.
-                    named, near = np.unique(part.owner[mine], return_inverse=True)
-                    blob = _pack(part.names, part.a[mine], part.b[mine], part.c[mine], near * 2 + part.second[mine])
-                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([role]), pa.array([blob], pa.binary()), pa.array([ids.take(pa.array(named)).to_pylist()], pa.list_(ids.type))], names)
+                    blob = _pack(others, len(common) + 1, a[mine], b[mine], c[mine], doc[mine])
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([role]), slice_id, pa.array([blob], pa.binary()), pa.array([None], pa.list_(ids.type))], fields)
 
     def settle(key: tuple, group: pa.Table) -> pa.Table:
-        lists = group.column("docs").combine_chunks()
-        ids = lists.flatten()
-        blobs = group.column("packed")
         if key[0].as_py() < 0:
-            tokens = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in blobs])
-            return pa.table({"doc_id": ids, "score": pa.array(np.zeros(len(tokens))), "due": pa.array(np.zeros(len(tokens), np.int64)), "n": pa.array(tokens)})
-        words, parts = [], []
-        starts = (lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()).astype(np.uint32)
-        for blob, start in zip(blobs, starts, strict=True):
-            own, (a, b, c, doc) = _unpack(blob.as_py())
-            words.append(own)
-            parts.append((a, b, c, (doc >> 1) + start, (doc & 1).astype(bool)))
-        vocabulary, place_of = np.unique(np.concatenate(words), return_inverse=True)
-        cuts = np.cumsum([len(w) for w in words])[:-1]
-        own = np.split(place_of.astype(np.uint32), cuts)
-        a, b, c = (np.concatenate([o[p[k]] for o, p in zip(own, parts, strict=True)]) for k in range(3))
-        owner, second = (np.concatenate([p[k] for p in parts]) for k in (3, 4))
-        del words, parts, own, place_of
-        score, due = settled(vocabulary, a, b, c, second, key[1].as_py(), known.value)
-        sums = np.bincount(owner, score, len(ids)), np.bincount(owner, due, len(ids)).astype(np.int64)
-        return pa.table({"doc_id": ids, "score": pa.array(sums[0]), "due": pa.array(sums[1]), "n": pa.array(np.zeros(len(ids), np.int64))})
-
-    blobs = df.mapInArrow(records, f"place int, role string, packed binary, docs array<{kind}>")
-    # Token counts need no place: each row of them is settled where it is.
-    counted = blobs.withColumn("salt", F.when(F.col("place") < 0, F.xxhash64("docs")).otherwise(F.lit(0)))
-    parts = counted.groupBy("place", "role", "salt").applyInArrow(settle, f"doc_id {kind}, score double, due bigint, n bigint")
+            return group.select(["slice", "packed", "docs"])
+        frequent, common = known.value
+        shared = len(common) + 1
+        words, parts, named, start = [], [], [], 0
+        for blob in group.column("packed"):
+            others, (a, b, c, doc) = _unpack(blob.as_py())
+            docs_of, near = np.unique(doc >> 1, return_inverse=True)
+            words.append(others)
+            named.append(docs_of)
+            parts.append((a, b, c, (near + start).astype(np.uint32), (doc & 1).astype(bool)))
+            start += len(docs_of)
+        others, back = np.unique(np.concatenate(words), return_inverse=True)
+        back = np.split((back + shared).astype(np.uint32), np.cumsum([len(w) for w in words])[:-1])
+        for own, columns in zip(back, parts, strict=True):
+            for x in columns[:3]:
+                x[x >= shared] = own[x[x >= shared] - shared]
+        a, b, c, owner, second = (np.concatenate([p[k] for p in parts]) for k in range(5))
+        del words, parts, back
+        vocabulary = np.concatenate((np.array([EDGE], np.uint64), common, others))
+        # Middle words are settled some at a time, so that only their records need room for counts.
+        ways = len(a) // PART + 1
+        turn = ((_mixed(vocabulary) >> np.uint64(40)) % np.uint64(ways)).astype(np.int32)[b]
+        score, due = np.zeros(start), np.zeros(start)
+        for k in range(ways):
+            mine = np.nonzero(turn == k)[0]
+            found = settled(vocabulary, a[mine], b[mine], c[mine], second[mine], key[1].as_py(), frequent)
+            for total, x in zip((score, due), found, strict=True):
+                total += np.bincount(owner[mine], x, start)
+        cuts = np.cumsum([len(x) for x in named])[:-1]
+        rows = zip(named, np.split(score, cuts), np.split(due.astype(np.uint32), cuts), strict=True)
+        packed = [zstandard.ZstdCompressor(level=1).compress(_planes(n, 4) + s.tobytes() + _planes(d, 4)) for n, s, d in rows]
+        return pa.table({"slice": group.column("slice"), "packed": pa.array(packed, pa.binary()), "docs": group.column("docs")})
+
+    def add_up(group: pa.Table) -> pa.Table:
+        """The sums of one slice."""
+        whole = group.filter(pc.is_valid(group.column("docs")))
+        ids = whole.column("docs").chunk(0)[0].values
+        score, due = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
+        for blob in group.filter(pc.is_null(group.column("docs"))).column("packed"):
+            raw = zstandard.ZstdDecompressor().decompress(blob.as_py())
+            n = len(raw) // 16
+            at = _from_planes(raw, np.uint32, n, 0)
+            score[at] += np.frombuffer(raw, np.float64, n, 4 * n)
+            due[at] += _from_planes(raw, np.uint32, n, 12 * n)
+        sizes = sum(np.frombuffer(x.as_py(), np.int64) for x in whole.column("packed"))
+        return pa.table({"doc_id": ids, "score": score, "due": due, "n": sizes})
+
+    blobs = df.mapInArrow(records, f"place int, role string, slice bigint, packed binary, docs array<{kind}>")
+    # Rows with ids need no place: each of them passes where it is.
+    dealt = blobs.withColumn("salt", F.when(F.col("place") < 0, F.col("slice")).otherwise(F.lit(0)))
+    settled_rows = dealt.groupBy("place", "role", "salt").applyInArrow(settle, f"slice bigint, packed binary, docs array<{kind}>")
+    parts = settled_rows.groupBy("slice").applyInArrow(add_up, f"doc_id {kind}, score double, due bigint, n bigint")
     sums = stored(parts.groupBy("doc_id").agg(F.sum("score").alias("score"), F.sum("due").alias("due"), F.sum("n").alias("n_tokens")), "scores")
     size = sums.agg(F.sum("n_tokens")).first()[0] or 1
     total = F.when(F.col("n_tokens") > 0, F.col("score") - F.col("due") * F.lit(math.log(size)))

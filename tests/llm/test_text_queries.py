@@ -122,7 +122,7 @@ def test_op2_split_ngrams_score_the_same(spark, docs_of):
     """One word, pair and triple in most records: each is split, down to the document."""
     texts = ["up we go " * (5 + i % 3) + f"then {i % 7} home" for i in range(60)] + ["up", "we go up", "", None, "go go go go"]
     found = rows(lm_scoring.scored(docs_of(list(enumerate(texts))), place=20), "doc_id")
-    frequent = lm_scoring._frequent(docs_of(list(enumerate(texts))), 0.05, 100)
+    frequent = lm_scoring._frequent(docs_of(list(enumerate(texts))), 0.05, 100)[0]
     assert all(len(f.keys) for f in frequent)
     for i, (n, score) in brute.backoff(dict(enumerate(texts))).items():
         assert found[i]["n_tokens"] == n
