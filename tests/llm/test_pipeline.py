@@ -1,0 +1,96 @@
+"""The pipeline, each stage held against a plain version on its own input, and its defined cases."""
+
+import importlib
+
+import pytest
+from helpers_llm import brute
+
+from pedalflow.llm import language_id, pii
+from pedalflow.session import stored
+
+pipeline = importlib.import_module("corpus_pipeline")
+SF = "/root/testdata/sf0.001"
+
+
+def as_rows(df):
+    return sorted(map(tuple, df.select(*pipeline.COLUMNS).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    """The input, then what each stage but the last keeps."""
+    docs = [spark.read.parquet(f"{SF}/documents.parquet").select(*pipeline.COLUMNS)]
+    for name, stage in pipeline.STAGES[:-1]:
+        docs.append(stored(stage(spark, docs[-1], SF), name.split()[0]))
+    return docs
+
+
+def test_language_stage_keeps_what_is_recognised(tables):
+    before, after = tables[0].collect(), as_rows(tables[1])
+    verdicts = language_id.predicted(tables[0], language_id.fit(tables[0], tables[0]["doc_id"].isNotNull())).collect()
+    good = {r["doc_id"] for r in verdicts if r["lang_pred"] != "und" and r["score"] >= pipeline.LEAST_SCORE}
+    assert after == sorted((tuple(r) for r in before if r["doc_id"] in good), key=repr)
+    assert not [r for r in after if not any(c.isalpha() for c in r[1] or "")]
+
+
+def test_quality_stage_rejects_what_fails_the_base_rules(tables):
+    before, after = as_rows(tables[1]), as_rows(tables[2])
+    assert set(after) <= set(before)
+    assert not [r for r in after if brute.quality(r[1])[-1]]
+    sound = [r for r in before if not brute.quality(r[1])[-1]]
+    assert len(after) >= 0.8 * len(sound)
+
+
+def test_duplicate_stage_leaves_the_least_of_each_group(tables):
+    before = as_rows(tables[2])
+    groups = brute.components([(r[0], brute.fingerprint(r[1])) for r in before])
+    assert as_rows(tables[3]) == [r for r in before if groups[r[0]] == r[0]]
+
+
+def test_personal_data_stage_marks_each_stretch(tables):
+    found = pii.find_personal(tables[3], pii.fit_chooser(tables[3]), "lang", "source").collect()
+    want = []
+    for r in found:
+        out, at, text = "", 0, r["text"]
+        for s in r["spans"]:
+            if s["start"] >= at:
+                out, at = f"{out}{text[at:s['start']]}<{s['kind'].upper()}>", s["end"]
+        out += text[at:]
+        want.append((r["doc_id"], out, r["lang"], r["source"], len(out)))
+    assert [r[:4] + (int(r[4]),) for r in as_rows(tables[4])] == sorted(want, key=repr)
+    assert any("<EMAIL>" in r[1] for r in want)
+
+
+def test_packing_stage_and_whole_run(spark, tables):
+    last = {r["doc_id"]: r for r in tables[4].collect()}
+    texts = {i: brute.WORD.findall(r["text"] or "") for i, r in last.items()}
+    about = {i: (r["source"], r["text"]) for i, r in last.items()}
+    found = pipeline.run(spark, SF).collect()
+    brute.check_packing(found, texts, about)
+    again = pipeline.pack_sequences(spark, tables[4], SF).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, again))
+
+
+@pytest.mark.parametrize("name, stage", pipeline.STAGES)
+def test_edges_of_each_stage(spark, docs_of, name, stage):
+    """Odd texts, null languages and sources, a row without id, repeated rows, clashing columns, and no rows at all."""
+    odd = [(i, t, None if i % 3 == 0 else "en", None if i % 4 == 0 else "src0") for i, t in enumerate(brute.EDGE_TEXTS)]
+    odd += [odd[8], (None, "no id here at all", "en", None)]
+    for rows in (odd, []):
+        found = stage(spark, docs_of(rows), SF)
+        if name != pipeline.STAGES[-1][0]:
+            assert found.columns == list(pipeline.COLUMNS)
+        ids = [r["doc_id"] for r in found.collect()]
+        assert set(ids) <= {r[0] for r in rows}
+        if rows and name == "SimHash near-dedup":
+            assert len(ids) == len(set(ids))
+        if rows and name in ("PII", "best-fit packing"):
+            assert set(ids) == {r[0] for r in rows}
+
+
+def test_repeated_documents_leave_one_row(spark, docs_of):
+    text = "the quick brown fox jumps over the lazy dog and then sleeps in the warm sun for an hour"
+    other = "a completely different account of harbour trade and winter storms along the northern coast"
+    docs = docs_of([(5, text), (5, text), (9, text), (7, other), (7, other), (8, None)])
+    kept = as_rows(pipeline.drop_near_duplicates(spark, docs, SF))
+    assert [(r[0], r[1]) for r in kept] == [(5, text), (7, other), (8, None)]
