@@ -23,6 +23,8 @@ TREES = 120
 DEPTH = 8
 SEED = 42
 TRAIN_TENTHS = 8
+# The first four hex digits of a hash are below this for that share of all hashes.
+TRAIN_BELOW = f"{65536 * TRAIN_TENTHS // 10:04x}"
 ROWS_AHEAD = 2
 TIME_AHEAD = "1 hour"
 HISTOGRAM_BINS = 20

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import FEATURES, LABEL, TIME_AHEAD, TRAIN_TENTHS
+from ..constants import FEATURES, LABEL, TIME_AHEAD, TRAIN_BELOW
 from ..functions.clock import hour_of, is_weekend, weekday_of
 from .leads import lead_by_rows, lead_by_time
 
@@ -32,11 +32,12 @@ def feature_rows(summary: DataFrame, rows=None, ahead=TIME_AHEAD, zone=None, lab
 def split(rows: DataFrame, cutoff=None, keys=("city",), order="window_start") -> DataFrame:
     """Add ``part``: "train" or "test".
 
-    By default 8 of 10 rows train, chosen by a hash of the row's key, so the split is the same however the data is laid
-    out. With a ``cutoff`` time earlier rows train and later rows test, which is the honest test of a forecast.
+    By default 8 of 10 rows train, chosen by the MD5 of the row's keys and epoch, so the split is the same however the
+    data is laid out, and in any engine. With a ``cutoff`` time earlier rows train and later rows test, which is the honest test of a forecast.
     """
     if cutoff is None:
-        train = F.pmod(F.xxhash64(*keys, order), F.lit(10)) < TRAIN_TENTHS
+        name = F.concat_ws("|", *keys, F.unix_seconds(order).cast("string"))
+        train = F.substring(F.md5(name.cast("binary")), 1, 4) < TRAIN_BELOW
     else:
         train = F.col(order) < (cutoff if isinstance(cutoff, Column) else F.lit(cutoff)).cast("timestamp")
     return rows.withColumn("part", F.when(train, "train").otherwise("test"))

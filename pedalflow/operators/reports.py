@@ -15,18 +15,20 @@ def histogram(rows: DataFrame, column: str, bins=HISTOGRAM_BINS) -> DataFrame:
     """Counts in equal-width bins between the smallest and the greatest value, empty bins included.
 
     The last bin includes its upper end. If all values are equal the range is half a unit to both sides. Nulls are left
-    out. The two bounds are a scalar subquery, so nothing passes through the driver and no row meets another.
+    out. The range is a single row: as a scalar subquery it meets the values, exploded it becomes the bins, so nothing
+    passes through the driver. Rows are read twice, so give it a stored table.
     """
     values = rows.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL")
-    bounds = values.agg(F.struct(F.min("v").alias("least"), F.max("v").alias("most")).alias("bounds")).scalar()
-    margin = F.when(bounds["least"] == bounds["most"], 0.5).otherwise(0.0)
-    low, high = bounds["least"] - margin, bounds["most"] + margin
-    bin_of = F.least(F.floor((F.col("v") - low) * bins / (high - low)), F.lit(bins - 1)).cast("int")
+    margin = F.when(F.min("v") == F.max("v"), 0.5).otherwise(0.0)
+    span = values.agg((F.min("v") - margin).alias("low"), (F.max("v") + margin).alias("high"))
+    span = span.select("low", (F.col("high") - F.col("low")).alias("width"))
+    whole = span.select(F.struct("low", "width")).scalar()
+    bin_of = F.least(F.floor((F.col("v") - whole["low"]) * bins / whole["width"]), F.lit(bins - 1)).cast("int")
     counts = values.groupBy(bin_of.alias("bin")).agg(F.count("*").alias("n"))
-    all_bins = rows.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    all_bins = span.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return all_bins.join(counts, "bin", "left").select(
         "bin",
-        (low + F.col("bin") * (high - low) / bins).alias("bin_start"),
-        (low + (F.col("bin") + 1) * (high - low) / bins).alias("bin_end"),
+        (F.col("low") + F.col("bin") * F.col("width") / bins).alias("bin_start"),
+        (F.col("low") + (F.col("bin") + 1) * F.col("width") / bins).alias("bin_end"),
         F.coalesce("n", F.lit(0).cast("long")).alias("n"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..constants import GRAIN_30M
 from ..functions.clock import event_time
 from ..functions.measures import utilization
+from ..schemas import UTIL_MEASURES, WEATHER_MEASURES
 
 
 def with_event_time(rows: DataFrame, epoch_col="event_timestamp") -> DataFrame:
@@ -75,8 +76,8 @@ def usage_summary(util: DataFrame, weather: DataFrame, keys=("city",)) -> DataFr
         "window_start",
         "window_end",
         *keys,
-        *["avg_util", "max_util", "min_util", "std_util"],
-        *["avg_temp", "avg_wind", "avg_clouds", "avg_rain"],
+        *UTIL_MEASURES,
+        *WEATHER_MEASURES,
     )
 
 

@@ -1,5 +1,7 @@
 """The same results in SQL, for a check of the queries by another engine (DuckDB)."""
 
+from ..constants import TRAIN_BELOW
+from ..schemas import UTIL_MEASURES, WEATHER_MEASURES
 from .queries import CUTOFF, METRO
 
 # The derived feeds, over the given tables. Events carry the region of their user as city, or one city for all.
@@ -55,9 +57,6 @@ _STATUS_RECORD = f"""SELECT event_id, station_id, num_bikes_available, num_docks
 _WEATHER_RECORD = f"""SELECT {_EPOCH} AS timestamp, temperature, wind_speed, cloudiness, precipitation, city,
   {_EPOCH} AS event_timestamp"""
 
-_UTIL_MEASURES = ["avg_util", "max_util", "min_util", "std_util"]
-_AIR_MEASURES = ["avg_temp", "avg_wind", "avg_clouds", "avg_rain"]
-
 _BUCKETS = {
     30: "time_bucket(INTERVAL '30 minutes', event_time)",
     1: "date_trunc('minute', event_time)",
@@ -91,7 +90,7 @@ def _usage(minutes=30, one_city=False):
     return f"{_feeds(one_city)},\n{_windows(minutes)}"
 
 
-_USAGE_OUT = f"window_start, window_end, city, {_round(*_UTIL_MEASURES, *_AIR_MEASURES)}"
+_USAGE_OUT = f"window_start, window_end, city, {_round(*UTIL_MEASURES, *WEATHER_MEASURES)}"
 
 _LEADS = {
     "avg_temp": "temp_t1h",
@@ -124,6 +123,9 @@ def _calendar(at):
   CASE WHEN {weekday} IN (1, 7) THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS is_weekend_t1h"""
 
 
+_PART = f"""CASE WHEN substr(md5(concat_ws('|', city, CAST(CAST(epoch(window_start) AS BIGINT) AS VARCHAR))), 1, 4)
+  < '{TRAIN_BELOW}' THEN 'train' ELSE 'test' END"""
+
 _COMPLETE = " AND ".join(f"{name} IS NOT NULL" for name in _LEADS.values())
 
 
@@ -208,13 +210,13 @@ SELECT 'station_status', CASE WHEN station_id IS NULL OR station_id = '' THEN 'n
   count(*) FROM fx_status_raw GROUP BY 1, 2""",
     "status_enriched": _ENRICHED,
     "utilization_by_window_30m": f"""{_usage()}
-SELECT window_start, window_end, city, {_round(*_UTIL_MEASURES)} FROM util""",
+SELECT window_start, window_end, city, {_round(*UTIL_MEASURES)} FROM util""",
     "utilization_by_window_1m": f"""{_usage(1)}
-SELECT window_start, window_end, city, {_round(*_UTIL_MEASURES)} FROM util""",
+SELECT window_start, window_end, city, {_round(*UTIL_MEASURES)} FROM util""",
     "weather_by_window_30m": f"""{_usage()}
-SELECT window_start, window_end, city, {_round(*_AIR_MEASURES)} FROM air""",
+SELECT window_start, window_end, city, {_round(*WEATHER_MEASURES)} FROM air""",
     "weather_by_window_1m": f"""{_usage(1)}
-SELECT window_start, window_end, city, {_round(*_AIR_MEASURES)} FROM air""",
+SELECT window_start, window_end, city, {_round(*WEATHER_MEASURES)} FROM air""",
     "usage_summary_30m": f"{_usage()}\nSELECT {_USAGE_OUT} FROM usage",
     "usage_summary_1m": f"{_usage(1)}\nSELECT {_USAGE_OUT} FROM usage",
     "usage_from_json_30m": f"{_usage()}\nSELECT {_USAGE_OUT} FROM usage",
@@ -240,14 +242,18 @@ QUALIFY row_number() OVER (PARTITION BY city ORDER BY features.time_t1h DESC) =
         f"SELECT round(util_t1h, 6) AS v FROM features WHERE window_start >= TIMESTAMP '{CUTOFF}'",
     ),
     "stream_usage_summary": f"""{_usage()}
+SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 minutes")}""",
+    "stream_usage_from_files": f"""{_usage()}
+SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 minutes")}""",
+    "stream_usage_late_files": f"""{_usage()}
 SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 minutes")}""",
     "stream_usage_summary_1m": f"""{_usage(1)}
 SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 seconds")}""",
     "stream_utilization": f"""{_usage()}
-SELECT window_start, window_end, city, {_round(*_UTIL_MEASURES)} FROM util
+SELECT window_start, window_end, city, {_round(*UTIL_MEASURES)} FROM util
 WHERE {_closed(_LAST_STATUS, "30 minutes")}""",
     "stream_weather_windows": f"""{_usage()}
-SELECT window_start, window_end, city, {_round(*_AIR_MEASURES)} FROM air
+SELECT window_start, window_end, city, {_round(*WEATHER_MEASURES)} FROM air
 WHERE city IS NOT NULL AND {_closed(_LAST_WEATHER, "30 minutes")}""",
     "stream_status_enriched": _ENRICHED,
     "stream_weather_rows": f"""{_feeds()}
@@ -255,6 +261,27 @@ SELECT timestamp, round(temperature, 6) AS temperature, round(wind_speed, 6) AS
   round(precipitation, 6) AS precipitation, city, event_timestamp,
   make_timestamp(event_timestamp * 1000000) AS event_time
 FROM ({_WEATHER_RECORD} FROM fx_weather WHERE city <> '')""",
+    "split_counts": f"{_features(_lead_exact())}\nSELECT {_PART} AS part, count(*) AS n FROM features GROUP BY 1",
+    "test_label_histogram": _histogram(
+        _features(_lead_exact()), f"SELECT round(util_t1h, 6) AS v FROM features WHERE {_PART} = 'test'"
+    ),
+    # A forest averages labels, so its predictions lie within the range of those it was trained on.
+    "forecast_predictions": f"""{_features(_lead_exact())}
+SELECT window_start, city, features.time_t1h, round(util_t1h, 6) AS util_t1h, TRUE AS in_range
+FROM features WHERE {_PART} = 'test'""",
+    "forecast_latest": f"""{_features(_lead_exact())}
+SELECT window_start, city, features.time_t1h, round(util_t1h, 6) AS util_t1h, TRUE AS in_range
+FROM features ORDER BY features.time_t1h DESC, city LIMIT 1""",
+    "model_roundtrip": f"""{_features(_lead_exact())}
+SELECT city, window_start, TRUE AS same FROM features WHERE {_PART} = 'test'""",
+    "persistence_metrics": f"""{_features(_lead_exact())},
+judged AS (SELECT util_t1h AS y, util_t1h - avg_util AS e FROM features WHERE {_PART} = 'test')
+SELECT count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse,
+  round(1 - sum(e * e) / NULLIF(var_pop(y) * count(y), 0), 6) AS r2, round(avg(abs(e)), 6) AS mae
+FROM judged""",
+    "persistence_series": f"""{_features(_lead_exact())}
+SELECT features.time_t1h, city, round(util_t1h, 6) AS util_t1h, round(avg_util, 6) AS prediction
+FROM features WHERE {_PART} = 'test' ORDER BY features.time_t1h, city""",
     "split_counts_by_time": f"""{_features(_lead_exact())}
 SELECT CASE WHEN window_start < TIMESTAMP '{CUTOFF}' THEN 'train' ELSE 'test' END AS part, count(*) AS n
 FROM features GROUP BY 1""",

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..constants import DEFAULT_CITY, DELAY_1M, DELAY_30M, GRAIN_1M, GRAIN_30M
+from ..constants import DEFAULT_CITY, DELAY_1M, DELAY_30M, GRAIN_1M, GRAIN_30M, LABEL
 from ..schemas import STATION_INFO, STATION_STATUS, WEATHER
 from ..session import fresh_path, stored
 from ..sources import tables as src
-from ..sources.channels import file_channel, read_messages, write_messages
+from ..sources.channels import file_channel, read_messages, stream_messages, write_messages
 from ..sources.summary import read_summary, write_summary
 from ..streaming.jobs import finish
 from ..streaming.sinks import start_files, start_summary_sink
@@ -28,6 +28,8 @@ from .analytics import (
 METRO = "metro"
 # Rows before this moment train, later ones test, in the split by time.
 CUTOFF = "2024-01-25 00:00:00"
+# Files that a feed lands in, in the streams over message files.
+SLICES = 4
 
 
 def tidy(rows: DataFrame, rounded=True) -> DataFrame:
@@ -282,6 +284,42 @@ def stream_usage_summary_1m(spark, folder):
     return _run_summary(spark, folder, GRAIN_1M, DELAY_1M)
 
 
+def _landed_in_order(rows, encode, channel, late):
+    """Publish rows as SLICES files of equal stretches of time, one after the other; ``late`` sends the first again."""
+    at = F.unix_seconds("event_time")
+    first, last = rows.agg(F.min(at), F.max(at)).first()
+    slice_of = F.floor((at - (first or 0)) * SLICES / ((last or 0) - (first or 0) + 1))
+    for k in [*range(SLICES), *([0] if late else [])]:
+        write_messages(encode(rows.where(slice_of == k)).coalesce(1), channel)
+
+
+def _usage_by_files(spark, folder, late=False):
+    """The path of a summary streamed from message files, a file of each feed in every micro-batch."""
+    feeds = {
+        "status": (src.status(spark, folder), lambda r: op.encode_messages(src.status_records(r), "station_id")),
+        "weather": (src.weather(spark, folder), lambda r: op.encode_messages(src.weather_records(r), "city")),
+    }
+    channels = []
+    for name, (rows, encode) in feeds.items():
+        channels.append(file_channel(fresh_path(spark, f"{name}-messages"), maxFilesPerTrigger="1"))
+        _landed_in_order(stored(rows, name), encode, channels[-1], late)
+    status, weather = (stream_messages(spark, channel) for channel in channels)
+    path = fresh_path(spark, "usage-stream")
+    summary = usage_from_messages(status, weather, GRAIN_30M, DELAY_30M)
+    finish(start_summary_sink(summary, path, fresh_path(spark, "progress"), GRAIN_30M))
+    return path
+
+
+def stream_usage_from_files(spark, folder):
+    """Several micro-batches with rows: state is carried on and windows close in between."""
+    return tidy(read_summary(spark, _usage_by_files(spark, folder), grain=GRAIN_30M))
+
+
+def stream_usage_late_files(spark, folder):
+    """The same, and the first file comes a second time when its windows are closed: its rows are late."""
+    return tidy(read_summary(spark, _usage_by_files(spark, folder, late=True), grain=GRAIN_30M))
+
+
 def stream_utilization(spark, folder):
     windows = utilization_from_messages(_status_messages(spark, folder, stream=True), GRAIN_30M, DELAY_30M)
     return _run_windows(spark, windows)
@@ -330,8 +368,29 @@ def split_counts_by_time(spark, folder):
     return op.split_counts(op.split(op.feature_rows(_at_rest(spark, folder, METRO)), CUTOFF))
 
 
+def _in_range(scored, train):
+    """Keys, label, and whether the prediction lies within the range of the training labels, as any average of them."""
+    ends = train.agg(F.struct(F.min(LABEL).alias("least"), F.max(LABEL).alias("most"))).scalar()
+    fits = F.col("prediction").between(ends["least"] - 1e-9, ends["most"] + 1e-9)
+    return tidy(scored.select("window_start", "city", "time_t1h", LABEL, fits.alias("in_range")))
+
+
+def _persistence(spark, folder):
+    """Test rows with the present utilization as the prediction, a baseline for the forest."""
+    return _part(_features(spark, folder), "test").withColumn("prediction", F.col("avg_util"))
+
+
+def persistence_metrics(spark, folder):
+    return tidy(fc.metrics(_persistence(spark, folder)))
+
+
+def persistence_series(spark, folder):
+    return tidy(fc.forecast_series(_persistence(spark, folder)))
+
+
 def forecast_predictions(spark, folder):
-    return tidy(_scored_test(spark, folder))
+    fitted, rows = _fitted(spark, folder)
+    return _in_range(fc.score(fitted.model, _part(rows, "test")), _part(rows, "train"))
 
 
 def forecast_metrics(spark, folder):
@@ -344,27 +403,28 @@ def forecast_series(spark, folder):
 
 def test_label_histogram(spark, folder):
     """Distribution of the label over the test part."""
-    return tidy(op.histogram(_part(_features(spark, folder), "test"), "util_t1h"))
+    return tidy(op.histogram(tidy(_part(_features(spark, folder), "test")), LABEL))
 
 
 def test_label_histogram_by_time(spark, folder):
-    rows = op.split(op.feature_rows(tidy(_at_rest(spark, folder, METRO))), CUTOFF)
-    return tidy(op.histogram(_part(rows, "test"), "util_t1h"))
+    rows = stored(op.split(op.feature_rows(tidy(_at_rest(spark, folder, METRO))), CUTOFF), "features")
+    return tidy(op.histogram(_part(rows, "test"), LABEL))
 
 
 def forecast_latest(spark, folder):
     fitted, rows = _fitted(spark, folder)
-    return tidy(fc.forecast_latest(fitted.model, rows))
+    return _in_range(fc.forecast_latest(fitted.model, rows), _part(rows, "train"))
 
 
 def model_roundtrip(spark, folder):
-    """Predictions of the fitted model and of the same model stored and loaded."""
+    """Whether the fitted model, and the same model stored and loaded, predict the same."""
     fitted, rows = _fitted(spark, folder)
     path = fresh_path(spark, "model")
     fc.save_model(fitted.model, path)
     before = fc.score(fitted.model, _part(rows, "test")).withColumnRenamed("prediction", "prediction_fitted")
     after = fc.score(fc.load_model(path), before).withColumnRenamed("prediction", "prediction_loaded")
-    return tidy(after.select("city", "window_start", "prediction_fitted", "prediction_loaded"))
+    same = F.col("prediction_fitted") == F.col("prediction_loaded")
+    return tidy(after.select("city", "window_start", same.alias("same")))
 
 
 _ALL = [
@@ -404,6 +464,8 @@ _ALL = [
     util_histogram,
     stream_usage_summary,
     stream_usage_summary_1m,
+    stream_usage_from_files,
+    stream_usage_late_files,
     stream_utilization,
     stream_weather_windows,
     stream_status_enriched,
@@ -413,6 +475,8 @@ _ALL = [
     forecast_predictions,
     forecast_metrics,
     forecast_series,
+    persistence_metrics,
+    persistence_series,
     test_label_histogram,
     test_label_histogram_by_time,
     forecast_latest,
@@ -421,7 +485,10 @@ _ALL = [
 
 
 def _in_utc(query):
-    """The same query with the session zone the tables are meant for."""
+    """The same query with the session zone the tables are meant for.
+
+    It stays set: the rows are worked out when the caller asks for them, in the zone the session then has.
+    """
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -1,4 +1,4 @@
-"""Explicit schemas: nothing in the engine infers a schema.
+"""Explicit schemas: nothing in the engine infers a schema. Field names are fixed values: data on the wire has them.
 
 Epoch fields are ``long``: a 32-bit second counter overflows in 2038 and the JSON reader would turn a larger value into
 null.
@@ -62,16 +62,13 @@ WEATHER_DOCUMENT = _struct(
 # The part of a Kafka record the engine uses; also the layout of message files.
 MESSAGE = _struct(key=BinaryType(), value=BinaryType(), timestamp=TimestampType(), offset=LongType())
 
+# The measures of a usage summary, in the order of its columns.
+UTIL_MEASURES = ["avg_util", "max_util", "min_util", "std_util"]
+WEATHER_MEASURES = ["avg_temp", "avg_wind", "avg_clouds", "avg_rain"]
+
 USAGE_SUMMARY = _struct(
     window_start=TimestampType(),
     window_end=TimestampType(),
     city=StringType(),
-    avg_util=DoubleType(),
-    max_util=DoubleType(),
-    min_util=DoubleType(),
-    std_util=DoubleType(),
-    avg_temp=DoubleType(),
-    avg_wind=DoubleType(),
-    avg_clouds=DoubleType(),
-    avg_rain=DoubleType(),
+    **dict.fromkeys([*UTIL_MEASURES, *WEATHER_MEASURES], DoubleType()),
 )

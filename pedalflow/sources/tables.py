@@ -4,8 +4,6 @@ Events that are no page views become station states, page views become weather r
 Each function gives a batch table or, with ``stream=True``, the same rows as a stream.
 """
 
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,23 +12,24 @@ from ..operators.clean import clean_station_status
 from ..operators.enrich import lookup_join
 
 
-@cache
-def _schema(spark: SparkSession, path: str):
-    """The schema of a table, looked up once per session: each look-up is a job that opens files."""
-    return spark.read.parquet(path).schema
+# The given tables, as far as the feeds are derived from them.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    path = f"{folder}/{name}.parquet"
-    return spark.read.schema(_schema(spark, path)).parquet(path)
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _events(spark, folder, stream):
     if not stream:
         return table(spark, folder, "events")
     # A file stream wants a folder or a pattern; this pattern matches the table be it a file or a folder.
-    schema = table(spark, folder, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
+    return spark.readStream.schema(SCHEMAS["events"]).parquet(f"{folder}/event[s].parquet")
 
 
 def _with_city(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:

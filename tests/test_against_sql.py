@@ -17,15 +17,7 @@ TYPES = {
     "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
-ROWS_ONLY = {
-    "split_counts",
-    "forecast_predictions",
-    "forecast_metrics",
-    "forecast_series",
-    "forecast_latest",
-    "test_label_histogram",
-    "model_roundtrip",
-}
+ROWS_ONLY = {"forecast_metrics", "forecast_series"}
 
 
 @pytest.fixture(scope="module")

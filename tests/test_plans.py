@@ -108,6 +108,13 @@ def test_latest_row_is_a_top_k(spark, small):
     assert "TakeOrderedAndProject(limit=1" in plan_of(q.QUERIES["latest_row"](spark, small))
 
 
+@pytest.mark.parametrize("name", ["util_histogram", "test_label_histogram_by_time"])
+def test_a_histogram_has_one_row_of_bounds(spark, small, name):
+    """One scan for the bins, one for the counts, and the subquery with the bounds, named where they meet the values."""
+    plan = plan_of(q.QUERIES[name](spark, small))
+    assert plan.count("FileScan parquet") <= 4 and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def test_row_leads_use_chunks(spark, small):
     plan = plan_of(q.QUERIES["lead_rows"](spark, small))
     assert "WindowGroupLimit" in plan and "Exchange SinglePartition" not in plan

@@ -258,3 +258,9 @@ def test_publishers(spark, scratch):
     streaming.finish(streaming.start_weather_publisher(air, channel, f"{scratch}/p2", "Rome", every=None))
     sent = op.decode_messages(sources.read_messages(spark, channel), WEATHER)
     assert rows(sent, "timestamp", "temperature", "precipitation", "city") == [(5, 9.5, 0.0, "Rome")]
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_registered_streams_over_files_take_several_batches(spark, small, late):
+    written = spark.read.parquet(q._usage_by_files(spark, small, late))
+    assert written.select("batch_id").distinct().count() > 1
