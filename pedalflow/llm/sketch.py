@@ -2,10 +2,11 @@
 
 A sketch keeps every shingle hash below a fixed fraction of the range, so its size follows the document and sketches of
 parts merge by union. The share of a sketch found in another estimates containment, also between a short document and a
-very long one, where a sketch of fixed size has nothing left to compare.
+very long one, where a sketch of fixed size has nothing left to compare. A short text may leave its sketch empty; where
+both texts are at hand, they are compared by all their shingles.
 
-Defined cases: a null text is empty; a text of fewer words than a shingle has one shingle, the whole of it; where a
-sketch is empty, likeness is 1 for equal texts and else 0; repeated rows with one doc_id count once, with the least
+Defined cases: a null text is empty; a text of fewer words than a shingle has one shingle, the whole of it; where
+there is nothing to compare, likeness is 1 for equal texts and else 0; repeated rows with one doc_id count once, with the least
 text; a row without doc_id stands outside the order, its next document is empty; an only document follows itself.
 """
 
@@ -29,10 +30,19 @@ FRACTION = 16
 RUNS = 4
 
 
+def shingle_set(text: str) -> np.ndarray:
+    """All shingle hashes, ascending and without repeats."""
+    return np.unique(shingle_digests(word_bytes(text), WIDTH).view(">u8").ravel()).astype(np.uint64)
+
+
+def kept(hashes: np.ndarray) -> np.ndarray:
+    """The part of a shingle set that a sketch keeps."""
+    return hashes[hashes < np.uint64(2**64 // FRACTION)]
+
+
 def sketch(text: str) -> np.ndarray:
     """The kept hashes, ascending and without repeats."""
-    hashes = shingle_digests(word_bytes(text), WIDTH).view(">u8").ravel()
-    return np.unique(hashes[hashes < np.uint64(2**64 // FRACTION)]).astype(np.uint64)
+    return kept(shingle_set(text))
 
 
 def written(hashes: np.ndarray) -> str:
@@ -40,7 +50,7 @@ def written(hashes: np.ndarray) -> str:
 
 
 def containment(one: np.ndarray, two: np.ndarray, equal: bool) -> float:
-    """Estimated share of the smaller shingle set that lies in the larger one."""
+    """Share of the smaller shingle set that lies in the larger one; estimated, if given sketches."""
     if equal:
         return 1.0
     if not len(one) or not len(two):
@@ -49,7 +59,7 @@ def containment(one: np.ndarray, two: np.ndarray, equal: bool) -> float:
 
 
 def similarity(one: np.ndarray, two: np.ndarray, equal: bool) -> float:
-    """Estimated Jaccard similarity."""
+    """Jaccard similarity; estimated, if given sketches."""
     if equal:
         return 1.0
     both = len(np.intersect1d(one, two, assume_unique=True))
@@ -111,7 +121,8 @@ def edited_sketches(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document, of its edited text, and how like both, and the next document, are to it.
 
     The order of ids is cut into runs at ids of the table, and each text travels once, to its run; a task walks through
-    its runs in order and sees each document beside the next one. ``near_*`` are containments, ``jaccard_*`` similarities.
+    its runs in order and sees each document beside the next one. ``near_*`` are containments, ``jaccard_*``
+    similarities, of whole shingle sets.
     """
     df = picked(docs, doc_id="doc_id", text="text")
     kind = df.schema["doc_id"].dataType.simpleString()
@@ -122,12 +133,12 @@ def edited_sketches(docs: DataFrame) -> DataFrame:
 
     def compared(text: str, own: np.ndarray, following: str, after: np.ndarray) -> tuple:
         edited = text[: len(text) - len(text) // 4] + following[: len(text) // 4]
-        changed = sketch(edited)
+        changed = shingle_set(edited)
         return (
             len(text),
             hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-            written(own),
-            written(changed),
+            written(kept(own)),
+            written(kept(changed)),
             containment(own, changed, text == edited),
             containment(own, after, text == following),
             similarity(own, changed, text == edited),
@@ -164,10 +175,10 @@ def edited_sketches(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [id_type, *kinds], strict=True)], ["doc_id", *names])
 
         out: list[tuple] = []
-        nothing = sketch("")
+        nothing = shingle_set("")
         before = None
         for run, borrowed, i, text in documents(peeked()):
-            own = sketch(text)
+            own = shingle_set(text)
             if before is not None:
                 out.append((before[0], *compared(before[1], before[2], text, own)))
                 before = None
