@@ -3,7 +3,7 @@
 Lengths are words. A document longer than a sequence is cut; full pieces are sequences of their own. What remains is dealt
 by hash of doc_id to shards of bounded size, and within a shard placed longest first: bins stand in order of the room they
 have left, and the search goes from the tightest that fits to the next until one is found that is compatible. A bin
-carries two bitmaps: of the sources it holds, PER_SOURCE bits for each, and of its clusters of duplicates. Two documents
+carries two bitmaps: of the sources it holds, PER_SOURCE bits for each, and of its clusters of near duplicates. Two documents
 of one cluster never share a bin, nor more than PER_SOURCE of one source. No document is dropped; if no bin will do, a
 new one is opened.
 
@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pedalflow.llm import near
 from pedalflow.llm.common import GAP_CHARS, picked, words
 
 CAPACITY = 2048
@@ -61,9 +62,15 @@ def best_fit(items: list[tuple], capacity: int = CAPACITY, per_source: int = PER
 
 
 def with_clusters(docs: DataFrame) -> DataFrame:
-    """Add ``cluster``: a hash of the text without regard to case and to white space around it."""
+    """doc_id, text, source and ``cluster``: what near copies have in common, without regard to case and white space.
+
+    A text without near copies has the hash of its words, one without words has none.
+    """
     bare = F.lower(F.trim(F.col("text"), F.lit(GAP_CHARS)))
-    return docs.withColumn("cluster", F.when(bare != "", F.xxhash64(bare)))
+    df = picked(docs, doc_id="doc_id", text="text", source="source")
+    _, parts = near.near_copies(df.select("doc_id", bare.alias("text")))
+    df = near.noded(df.withColumn("bare", bare), "bare").join(parts, "node", "left")
+    return df.select("doc_id", "text", "source", F.when(bare != "", F.coalesce("root", "node")).alias("cluster"))
 
 
 def packed(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
