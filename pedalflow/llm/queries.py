@@ -4,11 +4,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pedalflow.llm import bpe, chat, language_id, lm_scoring, packing, pii, quality, simhash, sketch, url_filter
+from pedalflow.llm import bpe, chat, harmonic, language_id, lm_scoring, negatives, packing, pii, quality, simhash, sketch, spelling, url_filter
 from pedalflow.llm.common import table
 
 #: The public vocabulary of op5; a parameter of the operator.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+#: That of op12.
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 HARD_TEXT = "\\### Assistant: </turn> ok"
 
@@ -91,6 +93,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = harmonic.packed(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
+    pieces = packed.select("sequence_id", "ids", F.explode("pieces").alias("p")).select("sequence_id", "ids", "p.*")
+    own = F.substring("ids", F.col("offset") * 4 + 1, F.col("length") * 4)
+    return pieces.select("doc_id", "start", "length", F.crc32(own).alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,6 +123,9 @@ QUERIES = {
         op8_fingerprints,
         op9_simhash,
         op10_quality_rules,
+        op11_spelling_variants,
+        op12_harmonic_packing,
+        op13_hard_negatives,
     )
 }
 
@@ -123,4 +145,24 @@ ORACLE = {
             + CASE WHEN earlier = role THEN 8 ELSE 17 + length(replace(replace(role, '\', '\s'), '|', '\p')) END)
             AS BIGINT) AS formatted_chars
     FROM placed GROUP BY conv_id""",
+    "op13_hard_negatives": """
+    WITH v AS (
+        SELECT row_number() OVER () AS nth, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.nth AS anchor, a.vec_id AS anchor_id, b.nth AS other, b.vec_id AS id, a.label = b.label AS alike,
+            CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM v a JOIN v b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id),
+    positives AS (
+        SELECT * FROM scored WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+    negatives AS (
+        SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+            row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.id) AS rank
+        FROM positives p JOIN scored n
+            ON p.anchor = n.anchor AND NOT n.alike AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM negatives WHERE rank <= 3""",
 }
