@@ -31,3 +31,8 @@ HISTOGRAM_BINS = 20
 
 # How far ahead of its message's publish time an event may claim to be before its time is taken for an error.
 TIME_TOLERANCE = "1 hour"
+
+# Size of a quantile sketch: at 400 its ranks are off by about one in 100 at most.
+KLL_K = 400
+# Spans of the trailing features, by the name in their columns.
+TRAILING = {"1h": "1 hour", "24h": "24 hours", "7d": "7 days"}

@@ -43,5 +43,24 @@ def split(rows: DataFrame, cutoff=None, keys=("city",), order="window_start") ->
     return rows.withColumn("part", F.when(train, "train").otherwise("test"))
 
 
+def folds(rows: DataFrame, cutoffs, order="window_start", known="time_t1h") -> DataFrame:
+    """Add ``fold`` and ``part`` for a rolling-origin test, in which a model is judged on what came after its training.
+
+    ``cutoffs`` are moments in rising order. Fold k trains on the rows whose label was known at its cutoff, which is at
+    ``known``, and tests on those from its cutoff up to the next one. Rows train in several folds and appear once for
+    each; a row that begins before a cutoff and whose label lies after it takes no part in that fold.
+    """
+    ends = [F.lit(c).cast("timestamp") for c in cutoffs]
+    parts = []
+    for k, start in enumerate(ends):
+        tests = F.col(order) >= start
+        if k + 1 < len(ends):
+            tests &= F.col(order) < ends[k + 1]
+        part = F.when(F.col(known) < start, "train").when(tests, "test")
+        parts.append(F.struct(F.lit(k).alias("fold"), part.alias("part")))
+    every = rows.withColumn("_fold", F.explode(F.array(*parts)))
+    return every.select(*rows.columns, "_fold.*").where(F.col("part").isNotNull())
+
+
 def split_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("part").agg(F.count("*").alias("n"))

@@ -1,6 +1,6 @@
 """The state of a city one hour later, next to its present state.
 
-Give these functions a stored summary (``read_summary`` or ``stored``): both read their input twice.
+Give the batch functions a stored summary (``read_summary`` or ``stored``): they read their input twice.
 """
 
 from pyspark.sql import DataFrame, Window
@@ -36,6 +36,28 @@ def lead_by_time(summary: DataFrame, ahead=TIME_AHEAD, columns=None, keys=("city
     return summary.join(later, match, "left").select(*summary.columns, *columns.values())
 
 
+def lead_on_stream(
+    summary: DataFrame, ahead=TIME_AHEAD, delay="0 seconds", columns=None, keys=("city",), order="window_start"
+) -> DataFrame:
+    """:func:`lead_by_time` on a stream of summary rows, as ``stream_summary`` gives them.
+
+    An interval join of the stream with itself: a row waits for the one ``ahead`` later, and a row with none appears with
+    nulls once the watermark says that none will come. Both sides have a watermark and are let go when it passes them, so
+    state holds the rows of about ``ahead`` plus ``delay`` however long the stream runs. ``delay`` is how far apart in
+    time rows may arrive; a summary's windows arrive in order but for those of one batch.
+    """
+    columns = columns or LEADS
+    earlier = summary.withWatermark(order, delay)
+    later = summary.select(
+        F.col(order).alias("_at"), *[F.col(k).alias(f"_{k}") for k in keys], *[F.col(source).alias(name) for source, name in columns.items()]
+    ).withWatermark("_at", delay)
+    then = F.col(order) + F.expr(f"INTERVAL '{ahead}'")
+    match = (F.col("_at") >= then) & (F.col("_at") <= then)
+    for k in keys:
+        match &= F.col(k) == F.col(f"_{k}")
+    return earlier.join(later, match, "left").select(*summary.columns, *columns.values())
+
+
 def lead_by_rows(
     summary: DataFrame, n=ROWS_AHEAD, columns=None, keys=("city",), order="window_start", chunk="week"
 ) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import HISTOGRAM_BINS
+from ..constants import HISTOGRAM_BINS, KLL_K
 
 
 def latest_row(rows: DataFrame, order="time_t1h", keys=("city",)) -> DataFrame:
@@ -32,3 +32,22 @@ def histogram(rows: DataFrame, column: str, bins=HISTOGRAM_BINS) -> DataFrame:
         (F.col("low") + (F.col("bin") + 1) * F.col("width") / bins).alias("bin_end"),
         F.coalesce("n", F.lit(0).cast("long")).alias("n"),
     )
+
+
+def quantile_bins(rows: DataFrame, column: str, bins=HISTOGRAM_BINS, keys=(), accuracy=KLL_K) -> DataFrame:
+    """Bins that hold about equally many values each, per key, from one pass.
+
+    Each task keeps a KLL sketch per key, a few thousand bytes whatever it has read, and sketches merge on the way; so a
+    hot key is no larger than another after that. Bin ends are quantiles whose rank is off by at most one value in 100 at
+    the default ``accuracy``, in 99 of 100 cases, and by about half of that at twice the accuracy; the first and the last
+    end are exact. Nulls and NaN are left out; a key without
+    values has no bins.
+    """
+    v = F.col(column).cast("double")
+    sketch = F.kll_sketch_agg_double(v, F.lit(accuracy))
+    kept = rows.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys).agg(sketch.alias("_sketch"), F.count("*").alias("n"), F.min(v).alias("_least"), F.max(v).alias("_most"))
+    ranks = F.array(*[F.lit(k / bins) for k in range(1, bins)])
+    ends = F.concat(F.array("_least"), F.kll_sketch_get_quantile_double("_sketch", ranks), F.array("_most"))
+    spans = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda k: F.struct(k.alias("bin"), F.get("_ends", k).alias("bin_start"), F.get("_ends", k + 1).alias("bin_end")))
+    placed = kept.where("n > 0").withColumn("_ends", ends).select(*keys, "n", F.explode(spans).alias("_bin"))
+    return placed.select(*keys, "_bin.*", "n")

@@ -22,21 +22,36 @@ def with_utilization(status: DataFrame) -> DataFrame:
     return status.withColumn("utilization", utilization())
 
 
-def _per_window(rows, grain, delay, keys, measures):
+def drop_resent(rows: DataFrame, identity, delay=None) -> DataFrame:
+    """One row of those that agree in the columns ``identity``, for messages that a producer sent again.
+
+    On a stream, ``delay`` is its watermark and how far apart in event time copies can be told: they agree in their time,
+    so each is remembered until the watermark passes it, and state does not grow. A copy that comes later than that is
+    late, and a window takes it as little as any late row.
+    """
+    if delay is None:
+        return rows.dropDuplicates(list(identity))
+    return rows.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(identity))
+
+
+def _per_window(rows, grain, delay, keys, measures, once=None):
     # Only the columns in use reach the watermark and the aggregation.
-    slim = rows.select("event_time", *keys, *measures)
-    if delay is not None:
+    slim = rows.select(*dict.fromkeys(["event_time", *keys, *measures, *(once or ())]))
+    if once:
+        slim = drop_resent(slim, once, delay)
+    elif delay is not None:
         slim = slim.withWatermark("event_time", delay)
     return slim.groupBy(F.window("event_time", grain), *keys)
 
 
-def utilization_by_window(status: DataFrame, grain=GRAIN_30M, delay=None, keys=("city",)) -> DataFrame:
+def utilization_by_window(status: DataFrame, grain=GRAIN_30M, delay=None, keys=("city",), once=None) -> DataFrame:
     """Average, maximum, minimum and sample deviation of utilization per tumbling window and key.
 
-    ``delay`` is the watermark of a stream: how long a window waits for late rows before it is final.
+    ``delay`` is the watermark of a stream: how long a window waits for late rows before it is final. ``once`` names the
+    columns by which rows that were sent again are told (see :func:`drop_resent`); ``event_time`` is one of them.
     """
     rows = status if "utilization" in status.columns else with_utilization(status)
-    return _per_window(rows, grain, delay, keys, ["utilization"]).agg(
+    return _per_window(rows, grain, delay, keys, ["utilization"], once).agg(
         F.avg("utilization").alias("avg_util"),
         F.max("utilization").alias("max_util"),
         F.min("utilization").alias("min_util"),
@@ -44,15 +59,15 @@ def utilization_by_window(status: DataFrame, grain=GRAIN_30M, delay=None, keys=(
     )
 
 
-def weather_by_window(weather: DataFrame, grain=GRAIN_30M, delay=None, keys=("city",)) -> DataFrame:
-    """Average temperature, wind, cloud cover and rain per tumbling window and key."""
+def weather_by_window(weather: DataFrame, grain=GRAIN_30M, delay=None, keys=("city",), once=None) -> DataFrame:
+    """Average temperature, wind, cloud cover and rain per tumbling window and key; ``once`` as above."""
     averages = {
         "temperature": "avg_temp",
         "wind_speed": "avg_wind",
         "cloudiness": "avg_clouds",
         "precipitation": "avg_rain",
     }
-    return _per_window(weather, grain, delay, keys, list(averages)).agg(
+    return _per_window(weather, grain, delay, keys, list(averages), once).agg(
         *[F.avg(measure).alias(name) for measure, name in averages.items()]
     )
 

@@ -46,14 +46,22 @@ def decoded_weather(messages: DataFrame, columns=None, epoch_col="event_timestam
     return _decoded(messages, WEATHER, columns, epoch_col, observed, "city")
 
 
-def utilization_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None, observed=None) -> DataFrame:
-    """Windowed utilization of status messages; a stream needs ``delay``."""
-    return utilization_by_window(decoded_status(messages, _STATUS_USED, observed=observed), grain, delay)
+# By what a message that was sent again is told from others: its key, its time and what it says.
+STATUS_IDENTITY = ["station_id", "event_time", "num_bikes_available", "num_docks_available", "city"]
+WEATHER_IDENTITY = ["city", "event_time", "temperature", "wind_speed", "cloudiness", "precipitation"]
 
 
-def weather_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None, observed=None) -> DataFrame:
-    """Windowed weather of weather messages; a stream needs ``delay``."""
-    return weather_by_window(decoded_weather(messages, _WEATHER_USED, observed=observed), grain, delay)
+def utilization_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None, observed=None, resent=False) -> DataFrame:
+    """Windowed utilization of status messages; a stream needs ``delay``. ``resent`` counts a repeated message once."""
+    used = ["station_id", *_STATUS_USED] if resent else _STATUS_USED
+    rows = decoded_status(messages, used, observed=observed)
+    return utilization_by_window(rows, grain, delay, once=STATUS_IDENTITY if resent else None)
+
+
+def weather_from_messages(messages: DataFrame, grain=GRAIN_30M, delay=None, observed=None, resent=False) -> DataFrame:
+    """Windowed weather of weather messages; a stream needs ``delay``. ``resent`` counts a repeated message once."""
+    rows = decoded_weather(messages, _WEATHER_USED, observed=observed)
+    return weather_by_window(rows, grain, delay, once=WEATHER_IDENTITY if resent else None)
 
 
 def station_snapshot(messages: DataFrame) -> DataFrame:
@@ -63,14 +71,18 @@ def station_snapshot(messages: DataFrame) -> DataFrame:
     return latest_by_key(stations, "station_id", order).drop(*order)
 
 
-def usage_from_messages(status: DataFrame, weather: DataFrame, grain=GRAIN_30M, delay=None, counts=False) -> DataFrame:
+def usage_from_messages(
+    status: DataFrame, weather: DataFrame, grain=GRAIN_30M, delay=None, counts=False, resent=False
+) -> DataFrame:
     """Usage summary of status and weather messages; a stream needs ``delay``.
 
-    ``counts`` reports accepted and rejected rows of both feeds as ``status_rows`` and ``weather_rows``.
+    ``counts`` reports accepted and rejected rows of both feeds as ``status_rows`` and ``weather_rows``. ``resent`` counts
+    a message that a producer sent again only once; it costs a shuffle by message, and on a stream the state of the
+    messages of one ``delay``.
 
     The station list has no part in it: the summary uses none of its columns, so joining it would only move data.
     """
     return usage_summary(
-        utilization_from_messages(status, grain, delay, "status_rows" if counts else None),
-        weather_from_messages(weather, grain, delay, "weather_rows" if counts else None),
+        utilization_from_messages(status, grain, delay, "status_rows" if counts else None, resent),
+        weather_from_messages(weather, grain, delay, "weather_rows" if counts else None, resent),
     )

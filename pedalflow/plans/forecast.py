@@ -1,6 +1,7 @@
 """A forecast of utilization one hour ahead: fit, score, judge and keep the model."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -41,12 +42,12 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return model.transform(rows).drop("features")
 
 
-def metrics(scored: DataFrame) -> DataFrame:
-    """Root mean square error, share of variance explained and mean absolute error, in one pass."""
+def metrics(scored: DataFrame, *keys) -> DataFrame:
+    """Root mean square error, share of variance explained and mean absolute error, in one pass; per ``keys`` if given."""
     label = F.col(LABEL)
     error = label - F.col("prediction")
     squares = F.sum(error * error)
-    return scored.agg(
+    return scored.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
         (1 - F.try_divide(squares, F.var_pop(label) * F.count(label))).alias("r2"),
@@ -54,6 +55,26 @@ def metrics(scored: DataFrame) -> DataFrame:
     )
 
 
+def rolling_test(rows: DataFrame, fold_numbers) -> DataFrame:
+    """Metrics per fold of :func:`folds`, of a forest fitted for each fold and of the present utilization (``base_``).
+
+    Give it a stored table. The folds are fitted one after the other, each fit being a job over the whole cluster, and
+    judged together. A fold without rows to train on has no forest and is left out.
+    """
+    tested = []
+    for k in fold_numbers:
+        own = rows.where(F.col("fold") == k)
+        train = own.where(F.col("part") == "train")
+        if not train.isEmpty():
+            tested.append(score(fit_forecast(train).model, own.where(F.col("part") == "test")))
+    if not tested:
+        tested = [rows.limit(0).withColumn("prediction", F.lit(0.0))]
+    judged = reduce(DataFrame.unionByName, tested)
+    base = metrics(judged.withColumn("prediction", F.col("avg_util")), "fold").drop("n")
+    base = base.select("fold", *[F.col(c).alias(f"base_{c}") for c in base.columns if c != "fold"])
+    return metrics(judged, "fold").join(base, "fold")
+
+
 def forecast_latest(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """The prediction for the latest row.
 

@@ -1,8 +1,8 @@
 """The same results in SQL, for a check of the queries by another engine (DuckDB)."""
 
-from ..constants import TRAIN_BELOW
+from ..constants import TRAILING, TRAIN_BELOW
 from ..schemas import UTIL_MEASURES, WEATHER_MEASURES
-from .queries import CUTOFF, METRO
+from .queries import CUTOFF, CUTOFFS, LEAD_DELAY, METRO
 
 # The derived feeds, over the given tables. Events carry the region of their user as city, or one city for all.
 _EVENTS_BY_REGION = """fx_events AS (
@@ -181,7 +181,71 @@ _ENRICHED = f"""{_feeds()},
 {_STATIONS}
 SELECT s.*, name, lat, lon, capacity FROM fx_status s LEFT JOIN stations USING (station_id)"""
 
+def _trailing():
+    """Whole sums over RANGE frames, and joins for the lags; the numbers are not rounded."""
+    columns, joins = [], []
+    for name, span in TRAILING.items():
+        n, s, q = (f"{f} OVER w_{name}" for f in ("count(x)", "sum(x)", "sum(CAST(x AS HUGEINT) * x)"))
+        columns += [
+            f"{n} AS n_{name}",
+            f"CASE WHEN {n} > 0 THEN CAST({s} AS DOUBLE) / ({n}) / 1000000 END AS mean_{name}",
+            f"""CASE WHEN {n} > 1 THEN
+    sqrt(CAST(({n}) * ({q}) - ({s}) * ({s}) AS DOUBLE) / CAST(({n}) * ({n} - 1) AS DOUBLE)) / 1000000 END AS std_{name}""",
+            f"CAST(l_{name}.x AS DOUBLE) / 1000000 AS lag_{name}",
+        ]
+        joins.append(f"""LEFT JOIN values_at l_{name}
+  ON l_{name}.city IS NOT DISTINCT FROM u.city AND l_{name}.window_start = u.window_start - INTERVAL '{span}'""")
+    windows = ", ".join(
+        f"w_{name} AS (PARTITION BY u.city ORDER BY u.window_start RANGE BETWEEN INTERVAL '{span}' PRECEDING AND CURRENT ROW)"
+        for name, span in TRAILING.items()
+    )
+    u = ", ".join(c.replace("(x)", "(u.x)").replace("AS HUGEINT) * x", "AS HUGEINT) * u.x").replace("CAST(x AS", "CAST(u.x AS") for c in columns)
+    return f""",
+values_at AS (SELECT window_start, city, CAST(round(round(avg_util, 6) * 1000000) AS BIGINT) AS x FROM usage)
+SELECT u.window_start, u.city, {u}
+FROM values_at u {" ".join(joins)} WINDOW {windows}"""
+
+
+_CUTOFF_ROWS = ", ".join(f"({k}, TIMESTAMP '{c}', TIMESTAMP '{e}')" for k, (c, e) in enumerate(zip(CUTOFFS, [*CUTOFFS[1:], "9999-01-01"])))
+
+_FOLDS = f"""{_features(_lead_exact())},
+cuts(fold, low, high) AS (VALUES {_CUTOFF_ROWS}),
+folded AS (SELECT features.*, CAST(fold AS INTEGER) AS fold,
+    CASE WHEN features.time_t1h < low THEN 'train' WHEN window_start >= low AND window_start < high THEN 'test' END AS part
+  FROM features JOIN cuts ON features.time_t1h < low OR (window_start >= low AND window_start < high))"""
+
 ORACLE = {
+    "usage_compacted": f"{_usage()}\nSELECT {_USAGE_OUT} FROM usage",
+    "usage_rollup": f"""{_usage()}
+SELECT {_USAGE_OUT}, '30 minutes' AS grain FROM usage
+UNION ALL SELECT * FROM ({_usage(1)} SELECT {_USAGE_OUT}, '1 minute' AS grain FROM usage)""",
+    "status_enriched_asof": f"""{_feeds()},
+{_STATIONS},
+history AS (SELECT station_id, name, lat, lon, capacity, TIMESTAMP '2024-01-01' + to_days(CAST(
+    CASE WHEN msg_offset = 1 THEN CAST(station_id AS BIGINT) % 5 ELSE 10 + CAST(station_id AS BIGINT) % 13 END AS INTEGER)) AS valid_from
+  FROM valid_stations)
+SELECT s.*, name, lat, lon, capacity FROM fx_status s
+ASOF LEFT JOIN history h ON s.station_id = h.station_id AND s.event_time >= h.valid_from""",
+    "trailing_features": f"{_usage(one_city=True)}{_trailing()}",
+    "trailing_features_by_city": f"{_usage()}{_trailing()}",
+    "stream_dedup_usage": f"""{_feeds()},
+{_windows(30).replace("FROM fx_status)", "FROM (SELECT DISTINCT event_time, city, station_id, num_bikes_available, num_docks_available FROM fx_status))").replace("FROM fx_weather GROUP", "FROM (SELECT DISTINCT event_time, city, temperature, wind_speed, cloudiness, precipitation FROM fx_weather) GROUP")}
+SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 minutes")}""",
+    "stream_usage_rollup": f"""{_usage()}
+SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 minutes")}""",
+    "stream_lead_exact": f"""{_usage()},
+closed AS (SELECT * FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 minutes")}),
+{_lead_exact().replace("FROM usage a", "FROM closed a").replace("JOIN usage b", "JOIN closed b")}
+SELECT {_LED_OUT} FROM led
+WHERE time_t1h IS NOT NULL OR window_start + INTERVAL '1 hour' <= (SELECT max(window_start) FROM closed) - INTERVAL '{LEAD_DELAY}'""",
+    "stream_open_windows": f"""{_usage()}
+SELECT window_start, window_end, city FROM util WHERE NOT ({_closed(_LAST_STATUS, "30 minutes")})""",
+    "fold_sizes": f"{_FOLDS}\nSELECT fold, part, count(*) AS n FROM folded GROUP BY fold, part",
+    "rolling_persistence": f"""{_FOLDS},
+judged AS (SELECT fold, util_t1h AS y, util_t1h - avg_util AS e FROM folded WHERE part = 'test')
+SELECT fold, count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse,
+  round(1 - sum(e * e) / NULLIF(var_pop(y) * count(y), 0), 6) AS r2, round(avg(abs(e)), 6) AS mae
+FROM judged GROUP BY fold""",
     "message_encode": _record_text(),
     "decode_status": f"""{_feeds()}
 SELECT * EXCLUDE (event_id) FROM ({_STATUS_RECORD} FROM fx_status_raw) WHERE station_id <> ''""",
@@ -265,15 +329,6 @@ FROM ({_WEATHER_RECORD} FROM fx_weather WHERE city <> '')""",
     "test_label_histogram": _histogram(
         _features(_lead_exact()), f"SELECT round(util_t1h, 6) AS v FROM features WHERE {_PART} = 'test'"
     ),
-    # A forest averages labels, so its predictions lie within the range of those it was trained on.
-    "forecast_predictions": f"""{_features(_lead_exact())}
-SELECT window_start, city, features.time_t1h, round(util_t1h, 6) AS util_t1h, TRUE AS in_range
-FROM features WHERE {_PART} = 'test'""",
-    "forecast_latest": f"""{_features(_lead_exact())}
-SELECT window_start, city, features.time_t1h, round(util_t1h, 6) AS util_t1h, TRUE AS in_range
-FROM features ORDER BY features.time_t1h DESC, city LIMIT 1""",
-    "model_roundtrip": f"""{_features(_lead_exact())}
-SELECT city, window_start, TRUE AS same FROM features WHERE {_PART} = 'test'""",
     "persistence_metrics": f"""{_features(_lead_exact())},
 judged AS (SELECT util_t1h AS y, util_t1h - avg_util AS e FROM features WHERE {_PART} = 'test')
 SELECT count(*) AS n, round(sqrt(avg(e * e)), 6) AS rmse,

@@ -7,16 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from ..constants import DEFAULT_CITY, DELAY_1M, DELAY_30M, GRAIN_1M, GRAIN_30M, LABEL
+from ..constants import DEFAULT_CITY, DELAY_1M, DELAY_30M, GRAIN_1M, GRAIN_30M, LABEL, TRAILING
+from ..operators.rollup import WEATHER as WEATHER_ROLLUP
 from ..schemas import STATION_INFO, STATION_STATUS, WEATHER
 from ..session import fresh_path, stored
 from ..sources import tables as src
 from ..sources.channels import file_channel, read_messages, stream_messages, write_messages
-from ..sources.summary import read_summary, write_summary
+from ..sources.summary import compact_summary, read_summary, stream_summary, write_summary
 from ..streaming.jobs import finish
 from ..streaming.sinks import start_files, start_summary_sink
+from ..streaming.state import state_keys
 from . import forecast as fc
 from .analytics import (
+    decoded_status,
     decoded_weather,
     station_snapshot,
     usage_from_messages,
@@ -28,8 +31,14 @@ from .analytics import (
 METRO = "metro"
 # Rows before this moment train, later ones test, in the split by time.
 CUTOFF = "2024-01-25 00:00:00"
+# The folds of the rolling-origin test begin at these moments.
+CUTOFFS = ["2024-01-10 00:00:00", "2024-01-15 00:00:00", "2024-01-20 00:00:00", "2024-01-25 00:00:00"]
 # Files that a feed lands in, in the streams over message files.
 SLICES = 4
+# Batches of the summary that is compacted as it is written.
+COMPACTED = 5
+# How far apart in time the rows of a summary may reach the stream that joins it with itself.
+LEAD_DELAY = "1 hour"
 
 
 def tidy(rows: DataFrame, rounded=True) -> DataFrame:
@@ -208,6 +217,35 @@ def summary_csv_roundtrip(spark, folder):
     return tidy(_at_rest(spark, folder, fmt="csv"))
 
 
+def usage_compacted(spark, folder):
+    """The summary written as batches of a few days, which are rewritten as one generation after every second batch."""
+    rows, path = stored(_summary(spark, folder), "usage"), fresh_path(spark, "usage")
+    batch = F.pmod(F.dayofmonth("window_start"), F.lit(COMPACTED))
+    for k in range(COMPACTED):
+        write_summary(rows.where(batch == k), path, grain=GRAIN_30M, batch_id=k)
+        if k % 2:
+            compact_summary(spark, path, GRAIN_30M)
+    return tidy(read_summary(spark, path, grain=GRAIN_30M))
+
+
+def _summary_of_moments(util, air):
+    return op.usage_summary(op.utilization_of(util), op.weather_of(air))
+
+
+def usage_rollup(spark, folder):
+    """Summaries per minute and per half hour from the moments per minute, for which each feed is read once."""
+    util = stored(op.moments_by_window(src.status(spark, folder)), "moments")
+    air = stored(op.moments_by_window(src.weather(spark, folder), WEATHER_ROLLUP), "moments")
+    longer = _summary_of_moments(op.rollup(util), op.rollup(air, WEATHER_ROLLUP))
+    both = _summary_of_moments(util, air).withColumn("grain", F.lit(GRAIN_1M))
+    return tidy(both.unionByName(longer.withColumn("grain", F.lit(GRAIN_30M))))
+
+
+def status_enriched_asof(spark, folder):
+    """Status rows with the station record that held at their time."""
+    return tidy(op.join_as_of(src.status(spark, folder), src.station_history(spark, folder), "station_id"))
+
+
 # Leads, features, reports: all on the summary at rest.
 
 
@@ -227,6 +265,20 @@ def lead_exact_by_city(spark, folder):
     return tidy(op.lead_by_time(_at_rest(spark, folder)))
 
 
+def _trailing(summary):
+    # Not rounded: the numbers come of whole sums and are the same in any engine.
+    rows = op.trailing_features(summary.select("window_start", "city", "avg_util"), TRAILING)
+    return tidy(rows.drop("avg_util"), rounded=False)
+
+
+def trailing_features(spark, folder):
+    return _trailing(_at_rest(spark, folder, METRO))
+
+
+def trailing_features_by_city(spark, folder):
+    return _trailing(_at_rest(spark, folder))
+
+
 def calendar_features(spark, folder):
     rows = src.status(spark, folder, METRO).select("event_id", "event_time")
     return op.calendar_features(rows, "event_time").drop("event_time")
@@ -253,6 +305,11 @@ def util_histogram(spark, folder):
     return tidy(op.histogram(tidy(_at_rest(spark, folder, METRO)), "avg_util"))
 
 
+def util_quantile_bins(spark, folder):
+    """Twenty bins of about equally many windows, per city."""
+    return tidy(op.quantile_bins(_at_rest(spark, folder), "avg_util", keys=["city"]))
+
+
 # Streams. Each runs over all that is there and ends; the rows are read back from its sink.
 
 
@@ -284,16 +341,20 @@ def stream_usage_summary_1m(spark, folder):
     return _run_summary(spark, folder, GRAIN_1M, DELAY_1M)
 
 
-def _landed_in_order(rows, encode, channel, late):
-    """Publish rows as SLICES files of equal stretches of time, one after the other; ``late`` sends the first again."""
+def _landed_in_order(rows, encode, channel, late, resent):
+    """Publish rows as SLICES files of equal stretches of time, one after the other; ``late`` sends the first again.
+
+    With ``resent`` each message is in its file twice.
+    """
     at = F.unix_seconds("event_time")
     first, last = rows.agg(F.min(at), F.max(at)).first()
     slice_of = F.floor((at - (first or 0)) * SLICES / ((last or 0) - (first or 0) + 1))
     for k in [*range(SLICES), *([0] if late else [])]:
-        write_messages(encode(rows.where(slice_of == k)).coalesce(1), channel)
+        sent = rows.where(slice_of == k)
+        write_messages(encode(sent.unionByName(sent) if resent else sent).coalesce(1), channel)
 
 
-def _usage_by_files(spark, folder, late=False):
+def _usage_by_files(spark, folder, late=False, resent=False):
     """The path of a summary streamed from message files, a file of each feed in every micro-batch."""
     feeds = {
         "status": (src.status(spark, folder), lambda r: op.encode_messages(src.status_records(r), "station_id")),
@@ -302,10 +363,10 @@ def _usage_by_files(spark, folder, late=False):
     channels = []
     for name, (rows, encode) in feeds.items():
         channels.append(file_channel(fresh_path(spark, f"{name}-messages"), maxFilesPerTrigger="1"))
-        _landed_in_order(stored(rows, name), encode, channels[-1], late)
+        _landed_in_order(stored(rows, name), encode, channels[-1], late, resent)
     status, weather = (stream_messages(spark, channel) for channel in channels)
     path = fresh_path(spark, "usage-stream")
-    summary = usage_from_messages(status, weather, GRAIN_30M, DELAY_30M)
+    summary = usage_from_messages(status, weather, GRAIN_30M, DELAY_30M, resent=resent)
     finish(start_summary_sink(summary, path, fresh_path(spark, "progress"), GRAIN_30M))
     return path
 
@@ -320,6 +381,34 @@ def stream_usage_late_files(spark, folder):
     return tidy(read_summary(spark, _usage_by_files(spark, folder, late=True), grain=GRAIN_30M))
 
 
+def stream_dedup_usage(spark, folder):
+    """Every message is sent twice in time and counts once."""
+    return tidy(read_summary(spark, _usage_by_files(spark, folder, resent=True), grain=GRAIN_30M))
+
+
+def stream_lead_exact(spark, folder):
+    """One job writes the summary in batches, and another reads it as a stream and joins it with itself an hour later."""
+    summary = stream_summary(spark, _usage_by_files(spark, folder), GRAIN_30M)
+    return _run_rows(spark, op.lead_on_stream(summary, delay=LEAD_DELAY))
+
+
+def stream_usage_rollup(spark, folder):
+    """Half hours from the moments per minute, in one query: windows of windows, and the join of both feeds."""
+    status = decoded_status(_status_messages(spark, folder, stream=True))
+    weather = decoded_weather(_weather_messages(spark, folder, stream=True))
+    util = op.rollup(op.moments_by_window(status, delay=DELAY_30M))
+    air = op.rollup(op.moments_by_window(weather, WEATHER_ROLLUP, delay=DELAY_30M), WEATHER_ROLLUP)
+    return _run_rows(spark, _summary_of_moments(util, air))
+
+
+def stream_open_windows(spark, folder):
+    """The windows that a stream still holds after its last batch, read from its checkpoint, with the rows of the state."""
+    windows = utilization_from_messages(_status_messages(spark, folder, stream=True), GRAIN_30M, DELAY_30M)
+    checkpoint = fresh_path(spark, "progress")
+    finish(start_files(op.flat_window(windows), fresh_path(spark, "stream"), checkpoint))
+    return tidy(state_keys(spark, checkpoint).select("window.start", "window.end", "city").toDF("window_start", "window_end", "city"))
+
+
 def stream_utilization(spark, folder):
     windows = utilization_from_messages(_status_messages(spark, folder, stream=True), GRAIN_30M, DELAY_30M)
     return _run_windows(spark, windows)
@@ -368,13 +457,6 @@ def split_counts_by_time(spark, folder):
     return op.split_counts(op.split(op.feature_rows(_at_rest(spark, folder, METRO)), CUTOFF))
 
 
-def _in_range(scored, train):
-    """Keys, label, and whether the prediction lies within the range of the training labels, as any average of them."""
-    ends = train.agg(F.struct(F.min(LABEL).alias("least"), F.max(LABEL).alias("most"))).scalar()
-    fits = F.col("prediction").between(ends["least"] - 1e-9, ends["most"] + 1e-9)
-    return tidy(scored.select("window_start", "city", "time_t1h", LABEL, fits.alias("in_range")))
-
-
 def _persistence(spark, folder):
     """Test rows with the present utilization as the prediction, a baseline for the forest."""
     return _part(_features(spark, folder), "test").withColumn("prediction", F.col("avg_util"))
@@ -384,13 +466,34 @@ def persistence_metrics(spark, folder):
     return tidy(fc.metrics(_persistence(spark, folder)))
 
 
+def _folds(spark, folder):
+    rows = stored(op.feature_rows(_at_rest(spark, folder, METRO)), "features")
+    return op.folds(rows, CUTOFFS)
+
+
+def fold_sizes(spark, folder):
+    """Rows that train and test in each fold of a rolling-origin test."""
+    return _folds(spark, folder).groupBy("fold", "part").agg(F.count("*").alias("n"))
+
+
+def rolling_persistence(spark, folder):
+    """Metrics per fold of the present utilization as the prediction."""
+    judged = _part(_folds(spark, folder), "test").withColumn("prediction", F.col("avg_util"))
+    return tidy(fc.metrics(judged, "fold"))
+
+
+def rolling_forecast(spark, folder):
+    """Metrics per fold of a forest fitted on what was known at the fold's cutoff, beside the baseline's."""
+    return tidy(fc.rolling_test(stored(_folds(spark, folder), "folds"), range(len(CUTOFFS))))
+
+
 def persistence_series(spark, folder):
     return tidy(fc.forecast_series(_persistence(spark, folder)))
 
 
 def forecast_predictions(spark, folder):
-    fitted, rows = _fitted(spark, folder)
-    return _in_range(fc.score(fitted.model, _part(rows, "test")), _part(rows, "train"))
+    """Test rows with the forest's prediction beside the label."""
+    return tidy(_scored_test(spark, folder).select("window_start", "city", "time_t1h", LABEL, "prediction"))
 
 
 def forecast_metrics(spark, folder):
@@ -413,18 +516,17 @@ def test_label_histogram_by_time(spark, folder):
 
 def forecast_latest(spark, folder):
     fitted, rows = _fitted(spark, folder)
-    return _in_range(fc.forecast_latest(fitted.model, rows), _part(rows, "train"))
+    return tidy(fc.forecast_latest(fitted.model, rows).select("window_start", "city", "time_t1h", LABEL, "prediction"))
 
 
 def model_roundtrip(spark, folder):
-    """Whether the fitted model, and the same model stored and loaded, predict the same."""
+    """Predictions of the fitted model, and of the same model stored and loaded."""
     fitted, rows = _fitted(spark, folder)
     path = fresh_path(spark, "model")
     fc.save_model(fitted.model, path)
     before = fc.score(fitted.model, _part(rows, "test")).withColumnRenamed("prediction", "prediction_fitted")
     after = fc.score(fc.load_model(path), before).withColumnRenamed("prediction", "prediction_loaded")
-    same = F.col("prediction_fitted") == F.col("prediction_loaded")
-    return tidy(after.select("city", "window_start", same.alias("same")))
+    return tidy(after.select("city", "window_start", "prediction_fitted", "prediction_loaded"))
 
 
 _ALL = [
@@ -443,6 +545,7 @@ _ALL = [
     utilization,
     audit_counts,
     status_enriched,
+    status_enriched_asof,
     utilization_by_window_30m,
     utilization_by_window_1m,
     weather_by_window_30m,
@@ -452,31 +555,43 @@ _ALL = [
     usage_from_json_30m,
     usage_ordered,
     summary_csv_roundtrip,
+    usage_compacted,
+    usage_rollup,
     lead_rows,
     lead_rows_by_city,
     lead_exact,
     lead_exact_by_city,
+    trailing_features,
+    trailing_features_by_city,
     calendar_features,
     feature_rows,
     feature_rows_by_rows,
     latest_row,
     latest_row_per_city,
     util_histogram,
+    util_quantile_bins,
     stream_usage_summary,
     stream_usage_summary_1m,
     stream_usage_from_files,
     stream_usage_late_files,
+    stream_dedup_usage,
+    stream_lead_exact,
+    stream_usage_rollup,
     stream_utilization,
     stream_weather_windows,
     stream_status_enriched,
     stream_weather_rows,
+    stream_open_windows,
     split_counts,
     split_counts_by_time,
+    fold_sizes,
     forecast_predictions,
     forecast_metrics,
     forecast_series,
     persistence_metrics,
     persistence_series,
+    rolling_persistence,
+    rolling_forecast,
     test_label_histogram,
     test_label_histogram_by_time,
     forecast_latest,

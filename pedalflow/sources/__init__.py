@@ -10,10 +10,12 @@ from .channels import (
     write_messages,
 )
 from .documents import read_documents, stream_documents
-from .summary import read_summary, write_summary
+from .summary import compact_summary, expire_summary, read_summary, stream_summary, write_summary
 
 __all__ = [
     "Channel",
+    "compact_summary",
+    "expire_summary",
     "file_channel",
     "kafka_channel",
     "read_documents",
@@ -22,6 +24,7 @@ __all__ = [
     "start_messages",
     "stream_documents",
     "stream_messages",
+    "stream_summary",
     "write_messages",
     "write_summary",
 ]
