@@ -11,6 +11,9 @@ from .plans.forecast import (
     forecast_series,
     load_model,
     metrics,
+    newest_model,
+    publish_model,
+    rolling_test,
     save_model,
     score,
 )
@@ -34,6 +37,9 @@ __all__ = [
     "info_messages",
     "load_model",
     "metrics",
+    "newest_model",
+    "publish_model",
+    "rolling_test",
     "save_model",
     "score",
     "station_snapshot",

@@ -14,8 +14,9 @@ from .plans.publish import info_messages
 from .session import build_session, stored
 from .sources.channels import file_channel, kafka_channel, write_messages
 from .sources.documents import read_documents, stream_documents
-from .sources.summary import read_summary
+from .sources.summary import compact_summary, expire_summary, read_summary
 from .streaming import jobs
+from .streaming.scoring import start_score_job
 
 USAGE_JOBS = {"usage-30m": (c.GRAIN_30M, c.DELAY_30M), "usage-1m": (c.GRAIN_1M, c.DELAY_1M)}
 
@@ -63,9 +64,25 @@ def _parser():
     sub.add_argument("--summary", required=True, help="dataset or CSV file of the usage summary")
     sub.add_argument("--format", choices=["parquet", "csv"], default="parquet")
     sub.add_argument("--grain", help="window length, if the dataset holds several")
-    sub.add_argument("--model", required=True)
+    place = sub.add_mutually_exclusive_group(required=True)
+    place.add_argument("--model", help="folder of one model, replaced")
+    place.add_argument("--models", help="folder of versions, to which one is added")
     sub.add_argument("--by-rows", type=int, help="take the n-th next row instead of the row one hour later")
     sub.add_argument("--cutoff", help="train before this time and test after it, instead of by hash")
+
+    sub = command("score", "score the latest window of each city by the newest model", messages=False)
+    streaming(sub, "60 seconds")
+    sub.add_argument("--summary", required=True, help="dataset of the usage summary")
+    sub.add_argument("--format", choices=["parquet", "csv"], default="parquet")
+    sub.add_argument("--grain", default=c.GRAIN_30M)
+    sub.add_argument("--models", required=True, help="folder of published models")
+    sub.add_argument("--out", required=True)
+
+    sub = command("compact", "rewrite the batches of a usage summary as few files", messages=False)
+    sub.add_argument("--summary", required=True)
+    sub.add_argument("--format", choices=["parquet", "csv"], default="parquet")
+    sub.add_argument("--grain", required=True)
+    sub.add_argument("--expire", type=float, metavar="SECONDS", help="also delete folders replaced longer ago than that")
     return parser
 
 
@@ -97,15 +114,26 @@ def _train(spark, args):
     fc.metrics(fc.score(fitted.model, rows.where(F.col("part") == "test"))).show()
     for name, weight in fitted.importances:
         print(f"{name:16} {weight:.3f}")
-    fc.save_model(fitted.model, args.model)
+    if args.models:
+        print(f"version {fc.publish_model(fitted.model, args.models)}")
+    else:
+        fc.save_model(fitted.model, args.model)
     fc.forecast_latest(fitted.model, rows).select("city", "time_t1h", "prediction").show(truncate=False)
 
 
+def _compact(spark, args):
+    print(f"{compact_summary(spark, args.summary, args.grain, args.format)} folders rewritten")
+    if args.expire is not None:
+        print(f"{expire_summary(spark, args.summary, args.grain, args.expire)} folders deleted")
+
+
 def main(argv=None):
     args = _parser().parse_args(argv)
     spark = build_session(f"pedalflow {args.command}")
     if args.command == "train":
         return _train(spark, args)
+    if args.command == "compact":
+        return _compact(spark, args)
 
     def channel(topic):
         return file_channel(f"{args.messages}/{topic}") if args.messages else kafka_channel(topic, args.broker)
@@ -118,6 +146,8 @@ def main(argv=None):
     elif args.command == "enrich":
         info, status = channel(c.TOPIC_STATION_INFO), channel(c.TOPIC_STATION_STATUS)
         queries = [jobs.start_enrich_job(spark, info, status, args.out, args.checkpoint, every)]
+    elif args.command == "score":
+        queries = [start_score_job(spark, args.summary, args.models, args.out, args.checkpoint, args.grain, args.format, every)]
     elif args.command == "weather":
         queries = [jobs.start_weather_console(spark, channel(c.TOPIC_WEATHER), every)]
     else:

@@ -1,16 +1,18 @@
 """A forecast of utilization one hour ahead: fit, score, judge and keep the model."""
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import DEPTH, FEATURES, LABEL, SEED, TREES
 from ..operators.reports import latest_row
+from ..sources import ledger
 
 
 @dataclass(frozen=True)
@@ -96,3 +98,23 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def publish_model(model: PipelineModel, folder: str) -> int:
+    """Store the model as the next version in ``folder``; it counts from the moment it is complete."""
+    spark = SparkSession.active()
+    version = 1 + newest_model(spark, folder)[0]
+    name = f"version-{version}-{uuid.uuid4().hex}"
+    model.save(f"{folder}/{name}")
+    if not ledger.publish(spark, folder, ledger.Entry("model", name, version)):
+        raise RuntimeError(f"version {version} is there already; another model was faster")
+    return version
+
+
+def newest_model(spark: SparkSession, folder: str) -> tuple[int, str | None]:
+    """Number and path of the newest version; (0, None) before the first."""
+    published = ledger.entries(spark, folder, "model")
+    if not published:
+        return 0, None
+    newest = max(published, key=lambda e: e.generation)
+    return newest.generation, f"{folder}/{newest.folder}"

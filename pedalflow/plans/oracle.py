@@ -237,9 +237,18 @@ SELECT {_USAGE_OUT} FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEA
 closed AS (SELECT * FROM usage WHERE {_closed(f"least({_LAST_STATUS}, {_LAST_WEATHER})", "30 minutes")}),
 {_lead_exact().replace("FROM usage a", "FROM closed a").replace("JOIN usage b", "JOIN closed b")}
 SELECT {_LED_OUT} FROM led
-WHERE time_t1h IS NOT NULL OR window_start + INTERVAL '1 hour' <= (SELECT max(window_start) FROM closed) - INTERVAL '{LEAD_DELAY}'""",
+WHERE time_t1h IS NOT NULL OR window_start + INTERVAL '1 hour' < (SELECT max(window_start) FROM closed) - INTERVAL '{LEAD_DELAY}'""",
     "stream_open_windows": f"""{_usage()}
 SELECT window_start, window_end, city FROM util WHERE NOT ({_closed(_LAST_STATUS, "30 minutes")})""",
+    "stream_intake_counts": f"""{_feeds()},
+ends AS (SELECT min({_EPOCH}) AS first, max({_EPOCH}) AS last FROM fx_status),
+sent AS (SELECT event_id, event_time, FALSE AS again FROM fx_status
+  UNION ALL SELECT event_id, event_time, TRUE FROM fx_status, ends WHERE ({_EPOCH} - first) * 4 // (last - first + 1) = 0),
+good AS (SELECT max(event_time) AS greatest FROM fx_status WHERE event_id % 50 <> 7)
+SELECT CASE WHEN event_id % 50 = 7 THEN 'corrupt'
+  WHEN again AND {_BUCKETS[30]} + INTERVAL '30 minutes' <= greatest - INTERVAL '30 minutes' THEN 'late' ELSE 'loaded' END AS outcome,
+  count(*) AS n
+FROM sent, good GROUP BY 1""",
     "fold_sizes": f"{_FOLDS}\nSELECT fold, part, count(*) AS n FROM folded GROUP BY fold, part",
     "rolling_persistence": f"""{_FOLDS},
 judged AS (SELECT fold, util_t1h AS y, util_t1h - avg_util AS e FROM folded WHERE part = 'test')

@@ -14,7 +14,9 @@ from ..session import fresh_path, stored
 from ..sources import tables as src
 from ..sources.channels import file_channel, read_messages, stream_messages, write_messages
 from ..sources.summary import compact_summary, read_summary, stream_summary, write_summary
+from ..streaming.intake import read_intake, start_intake_job
 from ..streaming.jobs import finish
+from ..streaming.scoring import read_scores, start_score_job
 from ..streaming.sinks import start_files, start_summary_sink
 from ..streaming.state import state_keys
 from . import forecast as fc
@@ -401,6 +403,38 @@ def stream_usage_rollup(spark, folder):
     return _run_rows(spark, _summary_of_moments(util, air))
 
 
+def stream_intake_counts(spark, folder):
+    """Messages per outcome: every 50th is broken, and the first quarter comes again when its windows are final.
+
+    Accepted, rejected and late messages add up to those sent.
+    """
+    channel = file_channel(fresh_path(spark, "status-messages"), maxFilesPerTrigger="1")
+
+    def encode(rows):
+        messages = op.encode_messages(src.status_records(rows), "station_id")
+        broken = F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("long") % 50 == 7
+        return messages.withColumn("value", F.when(broken, F.lit('{"station_id": ').cast("binary")).otherwise(F.col("value")))
+
+    _landed_in_order(stored(src.status(spark, folder), "status"), encode, channel, late=True, resent=False)
+    path = fresh_path(spark, "intake")
+    finish(start_intake_job(spark, channel, STATION_STATUS, "station_id", path, fresh_path(spark, "progress")))
+    return read_intake(spark, path, STATION_STATUS).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+def stream_scores(spark, folder):
+    """The latest window scored by the model of the time: a second version is published between two runs of the job."""
+    rows = _features(spark, folder)
+    summary, path, progress = fresh_path(spark, "usage"), fresh_path(spark, "scores"), fresh_path(spark, "progress")
+    models, usage = fresh_path(spark, "models"), stored(_at_rest(spark, folder, METRO), "usage")
+    early = F.col("window_start") < F.lit(CUTOFF).cast("timestamp")
+    for batch_id, part in enumerate((early, ~early)):
+        write_summary(usage.where(part), summary, grain=GRAIN_30M, batch_id=batch_id)
+        known = _part(rows, "train").where(F.col("time_t1h") < F.lit(CUTOFF).cast("timestamp")) if batch_id == 0 else _part(rows, "train")
+        fc.publish_model(fc.fit_forecast(known).model, models)
+        finish(start_score_job(spark, summary, models, path, progress))
+    return tidy(read_scores(spark, path).select("window_start", "city", "time_t1h", "model_version", "prediction"))
+
+
 def stream_open_windows(spark, folder):
     """The windows that a stream still holds after its last batch, read from its checkpoint, with the rows of the state."""
     windows = utilization_from_messages(_status_messages(spark, folder, stream=True), GRAIN_30M, DELAY_30M)
@@ -582,6 +616,8 @@ _ALL = [
     stream_status_enriched,
     stream_weather_rows,
     stream_open_windows,
+    stream_intake_counts,
+    stream_scores,
     split_counts,
     split_counts_by_time,
     fold_sizes,

@@ -46,9 +46,12 @@ def save_summary(path: str, grain: str, fmt="parquet", checkpoint=None):
     again, replaces nothing.
     """
 
+    run = []  # the id never changes while the checkpoint lives, and is not there before the query starts
+
     def save(batch: DataFrame, batch_id: int) -> None:
-        run = query_id(batch.sparkSession, checkpoint) if checkpoint else "batch"
-        write_summary(batch, path, fmt, grain, batch_id, run)
+        if not run:
+            run.append(query_id(batch.sparkSession, checkpoint) if checkpoint else "batch")
+        write_summary(batch, path, fmt, grain, batch_id, run[0])
 
     return save
 

@@ -24,6 +24,7 @@ ROWS_ONLY = {
     "forecast_series",
     "model_roundtrip",
     "rolling_forecast",
+    "stream_scores",
     "util_quantile_bins",
 }
 

@@ -11,6 +11,7 @@ from pedalflow.plans.forecast import load_model
 from pedalflow.schemas import STATION_INFO
 from pedalflow.session import state_partitions
 from pedalflow.sources import file_channel, read_messages, read_summary
+from pedalflow.streaming import read_scores
 
 
 def land(folder, documents):
@@ -81,3 +82,13 @@ def test_from_documents_to_forecast(spark, landed, scratch, capfd):
     printed = capfd.readouterr().out
     assert "rmse" in printed and "temp_t1h" in printed and "Rome" in printed
     assert load_model(f"{scratch}/model").stages[-1].getNumTrees == 120
+
+    main(["train", "--summary", f"{scratch}/usage", "--grain", "30 minutes", "--models", f"{scratch}/models"])
+    main(
+        ["score", "--summary", f"{scratch}/usage", "--models", f"{scratch}/models", "--out", f"{scratch}/scores"]
+        + ["--once", "--checkpoint", f"{scratch}/score-progress"]
+    )
+    assert [(r.city, r.model_version) for r in read_scores(spark, f"{scratch}/scores").collect()] == [("Rome", 1)]
+    before = summary.count()
+    main(["compact", "--summary", f"{scratch}/usage", "--grain", "30 minutes", "--expire", "3600"])
+    assert read_summary(spark, f"{scratch}/usage", grain="30 minutes").count() == before

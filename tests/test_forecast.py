@@ -83,3 +83,34 @@ def test_layout_moves_the_error_little(features, fitted):
     test = features.where("part = 'test'")
     one, other = (fc.metrics(fc.score(m, test)).first().rmse for m in (fitted.model, again.model))
     assert abs(one - other) < 1e-2
+
+
+def test_predictions_are_the_mean_of_the_trees_leaves(spark, features, fitted):
+    """Walk the stored trees in plain Python: a wrong order of features or a model that predicts the mean shows here."""
+    path = fresh_path(spark, "model")
+    fc.save_model(fitted.model, path)
+    trees = {}
+    for r in spark.read.parquet(f"{path}/stages/1_*/data").collect():
+        trees.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"]
+    assert len(trees) == 120
+
+    def leaf(tree, row):
+        node = tree[0]
+        while node["leftChild"] >= 0:
+            split = node["split"]
+            left = row[FEATURES[split["featureIndex"]]] <= split["leftCategoriesOrThreshold"][0]
+            node = tree[node["leftChild" if left else "rightChild"]]
+        return node["prediction"]
+
+    scored = fc.score(fitted.model, features.where("part = 'test'")).collect()
+    for row in scored:
+        assert row["prediction"] == pytest.approx(sum(leaf(t, row) for t in trees.values()) / len(trees), abs=1e-12)
+    assert len({round(r["prediction"], 6) for r in scored}) > 50
+
+
+def test_a_rolling_test_beats_the_baseline_where_there_is_something_to_learn(features):
+    cutoffs = ["2024-01-05 00:00:00", "2024-01-09 00:00:00"]
+    rows = stored(op.folds(features.withColumn("avg_util", F.col("avg_util")).drop("part"), cutoffs), "folds")
+    got = {r["fold"]: r for r in fc.rolling_test(rows, range(2)).collect()}
+    assert set(got) == {0, 1} and all(r["rmse"] < r["base_rmse"] and r["r2"] > 0.8 for r in got.values())
+    assert got[0]["n"] == rows.where("fold = 0 and part = 'test'").count()
