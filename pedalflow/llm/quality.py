@@ -34,9 +34,17 @@ CHI2_75 = {1: 1.3233, 2: 2.7726, 3: 4.1083, 4: 5.3853, 5: 6.6257}
 BINS = 32
 
 
-def text_stats(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the counts of each whole text."""
-    df = picked(docs, "doc_id", "lang", "source", text="text").withColumn("text", F.coalesce("text", F.lit("")))
+#: Columns that are read in any case.
+_OWN = ("doc_id", "lang", "source", "text")
+
+
+def text_stats(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, lang, source, further columns ``more`` of the input, and the counts of each whole text."""
+    df = picked(docs, "doc_id", "lang", "source", *[c for c in more if c not in _OWN], text="text")
+    # What the input calls text goes along as it is; a null counts as empty.
+    df = df.withColumn("given", F.col("text")).withColumn("text", F.coalesce("text", F.lit("")))
+    names = [c for c in more if c not in _OWN or c == "text"]
+    more = [F.col("given").alias(c) if c == "text" else F.col(c) for c in names]
     df = df.withColumn("ws", words(F.col("text"))).withColumn("ls", F.split("text", "\n", -1))
     df = df.withColumn("n_words", F.size("ws").cast("long")).withColumn(
         "grams",
@@ -52,6 +60,7 @@ def text_stats(docs: DataFrame) -> DataFrame:
         "doc_id",
         "lang",
         "source",
+        *more,
         "n_words",
         F.length(F.array_join("ws", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
@@ -82,6 +91,7 @@ def text_stats(docs: DataFrame) -> DataFrame:
         "doc_id",
         "lang",
         "source",
+        *names,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -184,14 +194,19 @@ def covariance_determinant(stats: DataFrame) -> DataFrame:
     return stored(_bounded(groups, reach).drop("b_lang", "b_source", "limit"), "mcd")
 
 
-def quality_verdicts(docs: DataFrame) -> DataFrame:
-    """Each document with its counts, ``base_failed``, the squared ``distance`` from its group, and ``kept``."""
-    stats = stored(text_stats(docs), "stats")
-    judged = _measured(transformed(stats), covariance_determinant(stats)).withColumn("distance", F.col("raw") / F.col("spread"))
+def quality_verdicts(docs: DataFrame, *more: str) -> DataFrame:
+    """Each document with its counts, ``base_failed``, the squared ``distance`` from its group, and ``kept``.
+
+    ``more`` names further columns of the input to carry along: they are written down with the counts, so that estimates
+    read the counts alone and the verdict still stands on the row it belongs to.
+    """
+    stats = stored(text_stats(docs, *more), "stats")
+    judged = _measured(transformed(stats), covariance_determinant(stats.drop(*[c for c in more if c not in ("doc_id", "lang", "source")]))).withColumn("distance", F.col("raw") / F.col("spread"))
     return judged.select(
         "doc_id",
         "lang",
         "source",
+        *[c for c in more if c not in ("doc_id", "lang", "source")],
         "n_words",
         "word_chars",
         "n_symbols",

@@ -40,17 +40,18 @@ def fingerprint(text: str | None, width: int = WIDTH) -> int:
     return int.from_bytes(np.packbits(votes * 2 > len(digests)).tobytes(), "big", signed=True)
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a long."""
-    df = picked(docs, doc_id="doc_id", text="text")
-    kind = df.schema["doc_id"].dataType.simpleString()
+def fingerprints(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, further columns ``more`` of the input, and ``fp``, the fingerprint as a long."""
+    df = picked(docs, "doc_id", *[c for c in more if c != "text"], text="text")
+    kept = ["doc_id", *more]
+    shape = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(found, pa.int64())], [*kept, "fp"])
 
-    return df.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return df.mapInArrow(run, f"{shape}, fp bigint")
 
 
 def _byte_counts(fps: np.ndarray) -> np.ndarray:
@@ -147,13 +148,33 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, ``fingerprint`` (16 hex digits) and ``component_id``, the least doc_id that links lead to."""
-    found = stored(fingerprints(docs), "fingerprints")
+def _placed(found: DataFrame) -> DataFrame:
+    """``fp``, its ``root`` and the least doc_id that has it (``first``), of the different fingerprints in ``found``."""
     distinct = stored(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     parts = components(links(distinct.select("fp")))
     placed = distinct.join(parts, distinct["fp"] == parts["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    placed = stored(placed, "placed")
+    return stored(placed, "placed")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, ``fingerprint`` (16 hex digits) and ``component_id``, the least doc_id that links lead to."""
+    found = stored(fingerprints(docs), "fingerprints")
+    placed = _placed(found)
     firsts = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stored(placed.join(firsts, "root").select("fp", "component_id"), "named")
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicated(docs: DataFrame, *more: str) -> DataFrame:
+    """The row with the least doc_id of each component, with doc_id and the columns ``more``; rows without an id come last.
+
+    Rows are told apart by a number they get when they are written down with their fingerprints, so of repeated rows one
+    stays, and rows that share an id but are no near copies all stay. Only numbers are shuffled: those of the rows that
+    go are taken out of the written table.
+    """
+    marked = stored(fingerprints(docs, *more).withColumn("row", F.monotonically_increasing_id()), "fingerprints")
+    found = marked.select("row", "doc_id", "fp")
+    best = found.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("best"))
+    winners = best.join(_placed(found).select("fp", "root"), "fp").groupBy("root").agg(F.min("best").alias("best"))
+    going = stored(found.select("row").join(winners.select(F.col("best.row").alias("row")), "row", "left_anti"), "going")
+    return marked.join(going, "row", "left_anti").select("doc_id", *more)

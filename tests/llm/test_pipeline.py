@@ -4,6 +4,7 @@ import importlib
 
 import pytest
 from helpers_llm import brute
+from pyspark.sql import functions as F
 
 from pedalflow.llm import language_id, pii
 from pedalflow.session import stored
@@ -27,10 +28,47 @@ def tables(spark):
 
 def test_language_stage_keeps_what_is_recognised(tables):
     before, after = tables[0].collect(), as_rows(tables[1])
-    verdicts = language_id.predicted(tables[0], language_id.fit(tables[0], tables[0]["doc_id"].isNotNull())).collect()
-    good = {r["doc_id"] for r in verdicts if r["lang_pred"] != "und" and r["score"] >= pipeline.LEAST_SCORE}
+    model = language_id.fit(tables[0], tables[0]["doc_id"].isNotNull())
+    verdicts = language_id.predicted(tables[0], model).collect()
+    good = {r["doc_id"] for r in verdicts if r["fits"]}
     assert after == sorted((tuple(r) for r in before if r["doc_id"] in good), key=repr)
     assert not [r for r in after if not any(c.isalpha() for c in r[1] or "")]
+    assert len(after) >= 0.98 * sum(any(c.isalpha() for c in r["text"] or "") for r in before)
+
+
+FOREIGN = [
+    "Съешь ещё этих мягких французских булок да выпей же чаю и читай книги о природе мира. " * 4,
+    "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所でニャーニャー泣いていた。" * 4,
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto. " * 3,
+    " ".join("".join(chr(97 + (i * i * 7 + j * 11 + i * j * 3) % 26) for j in range(4 + i % 6)) for i in range(90)),
+]
+
+
+@pytest.mark.parametrize("labels", [2, 4, 8])
+def test_language_stage_rejects_what_no_label_is_like(spark, labels):
+    """Other scripts, another language in the same script and random letters go, however many labels there are."""
+    own = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(*pipeline.COLUMNS)
+    if labels == 2:
+        own = own.where("lang in ('en', 'fr')")
+    if labels == 8:
+        own = own.withColumn("lang", F.concat("lang", (F.col("doc_id") % 2).cast("string")))
+    new = spark.createDataFrame([(-1 - k, t, None, "src0", len(t)) for k, t in enumerate(FOREIGN)], own.schema)
+    kept = {r[0] for r in as_rows(pipeline.identify_language(spark, own.unionByName(new), SF))}
+    assert not [i for i in kept if i < 0]
+    assert len(kept) >= 0.985 * own.count()
+
+
+def test_verdicts_stand_on_rows(spark, docs_of, tables):
+    """Rows without id and two texts under one id are judged each for what they are."""
+    good = [r["text"] for r in tables[3].where("lang = 'en' and length(text) between 400 and 3000").orderBy("doc_id").limit(8).collect()]
+    junk = "only five words of junk"
+    rows = [(i, t) for i, t in enumerate(good)] + [(0, junk), (None, junk), (None, good[1])]
+    docs = docs_of(rows).select(*pipeline.COLUMNS)
+    kept = [r[:2] for r in as_rows(pipeline.apply_quality(spark, docs, SF))]
+    assert (0, good[0]) in kept and (None, good[1]) in kept and junk not in [r[1] for r in kept]
+    left = [r[:2] for r in as_rows(pipeline.drop_near_duplicates(spark, docs, SF))]
+    assert sorted(r for r in left if r[1] != junk) == sorted(enumerate(good))
+    assert [r for r in left if r[1] == junk] == [(0, junk)]
 
 
 def test_quality_stage_rejects_what_fails_the_base_rules(tables):
