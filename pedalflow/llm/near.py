@@ -93,31 +93,19 @@ def linked(nodes: np.ndarray, sets: list[np.ndarray], least: float = LEAST) -> t
     return nodes[moved], nodes[root[moved]]
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    """doc_id, ``node`` and ``bands``."""
-    df = picked(docs, doc_id="doc_id", text="text")
-    kind = df.schema["doc_id"].dataType.simpleString()
+def _marked(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, further columns ``more`` of the input, the number of words ``n``, ``node`` and ``bands``."""
+    df = picked(docs, "doc_id", *more, text="text")
+    shape = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in ("doc_id", *more))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             split = [word_bytes(t.as_py()) for t in batch.column("text")]
-            columns = [batch.column("doc_id"), pa.array(map(node, split), pa.int64()), pa.array([bands(shingle_set(w)) for w in split], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "bands"])
+            found = [pa.array(map(len, split), pa.int64()), pa.array(map(node, split), pa.int64())]
+            found.append(pa.array([bands(shingle_set(w)) for w in split], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", *more)), *found], ["doc_id", *more, "n", "node", "bands"])
 
-    return df.mapInArrow(run, f"doc_id {kind}, node bigint, bands array<bigint>")
-
-
-def noded(df: DataFrame, of: str) -> DataFrame:
-    """Put ``node`` in the place of the text column ``of``, row by row."""
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name != of)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = pa.array([node(word_bytes(t.as_py())) for t in batch.column(of)], pa.int64())
-            names = [n for n in batch.schema.names if n != of]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], nodes], [*names, "node"])
-
-    return df.mapInArrow(run, f"{kinds}, node bigint")
+    return df.mapInArrow(run, f"{shape}, n bigint, node bigint, bands array<bigint>")
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -146,7 +134,8 @@ def links(docs: DataFrame, marked: DataFrame) -> DataFrame:
     groups = stored(groups.select("node", "root").unionByName(groups.select(F.col("root").alias("node"), "root").distinct()), "groups")
     sizes = groups.groupBy("root").agg((F.floor(F.count("*") / TILE) + 1).cast("long").alias("cuts"))
     groups = stored(groups.join(sizes, "root"), "groups")
-    texts = _texts(docs).join(groups, "node")
+    # Texts move once, by node, at every size: which of them are candidates is a list that grows with the table.
+    texts = _texts(docs).join(groups.hint("merge"), "node")
     # Each tile meets every tile of its group, itself too; the lesser number comes first.
     tile = F.pmod(F.xxhash64("node"), F.col("cuts"))
     met = texts.withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
@@ -161,10 +150,10 @@ def links(docs: DataFrame, marked: DataFrame) -> DataFrame:
     return met.groupBy("root", "a", "b").applyInArrow(run, "u bigint, v bigint")
 
 
-def near_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """doc_id and node of each row; and node and root of the nodes that links connect to another one."""
-    marked = stored(_marked(docs), "marked")
-    return marked.select("doc_id", "node"), components(links(docs, marked))
+def near_copies(docs: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """doc_id, ``more``, ``n`` (words) and node of each row; and node and root of the nodes that links connect to another one."""
+    marked = stored(_marked(docs, *more), "marked")
+    return marked.drop("bands"), components(links(docs, marked))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

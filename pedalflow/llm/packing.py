@@ -1,7 +1,7 @@
 """Best-fit packing of documents into training sequences, with conflicts.
 
 Lengths are words. A document longer than a sequence is cut; full pieces are sequences of their own. What remains is dealt
-by hash of doc_id to shards of bounded size, and within a shard placed longest first: bins stand in order of the room they
+by hash to shards of bounded size, and within a shard placed longest first: bins stand in order of the room they
 have left, and the search goes from the tightest that fits to the next until one is found that is compatible. A bin
 carries two bitmaps: of the sources it holds, PER_SOURCE bits for each, and of its clusters of near duplicates. Two documents
 of one cluster never share a bin, nor more than PER_SOURCE of one source. No document is dropped; if no bin will do, a
@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pedalflow.llm import near
-from pedalflow.llm.common import GAP_CHARS, picked, words
+from pedalflow.llm.common import picked
+from pedalflow.session import stored
 
 CAPACITY = 2048
 PER_SOURCE = 2
@@ -62,26 +63,26 @@ def best_fit(items: list[tuple], capacity: int = CAPACITY, per_source: int = PER
 
 
 def with_clusters(docs: DataFrame) -> DataFrame:
-    """doc_id, text, source and ``cluster``: what near copies have in common, without regard to case and white space.
+    """doc_id, source, the number of words ``n`` and ``cluster``: what near copies have in common, without regard to case
+    and white space.
 
-    A text without near copies has the hash of its words, one without words has none.
+    A text without near copies has the hash of its words, one without words has none. Texts are read once for this.
     """
-    bare = F.lower(F.trim(F.col("text"), F.lit(GAP_CHARS)))
-    df = picked(docs, doc_id="doc_id", text="text", source="source")
-    _, parts = near.near_copies(df.select("doc_id", bare.alias("text")))
-    df = near.noded(df.withColumn("bare", bare), "bare").join(parts, "node", "left")
-    return df.select("doc_id", "text", "source", F.when(bare != "", F.coalesce("root", "node")).alias("cluster"))
+    df = picked(docs, doc_id="doc_id", text="text", source="source").withColumn("text", F.lower("text"))
+    found, parts = near.near_copies(df, "source")
+    df = found.join(parts, "node", "left")
+    return stored(df.select("doc_id", "source", "n", F.when(F.col("n") > 0, F.coalesce("root", "node")).alias("cluster")), "clusters")
 
 
 def packed(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
     """A row for each piece: doc_id, piece, start and length in words, bin, and its offset in the bin.
 
-    Needs doc_id, text, source and cluster.
+    Needs doc_id, source, ``n`` and cluster of a stored table, as ``with_clusters`` gives them. Rows are dealt to shards
+    by their place in the table, so that rows without an id, or with one id, are spread like all others.
     """
     shards = max(1, docs.count() // SHARD + 1)
-    df = picked(docs, doc_id="doc_id", text="text", source="source", cluster="cluster")
-    df = df.select("doc_id", "source", "cluster", F.size(words(F.coalesce("text", F.lit("")))).alias("n"))
-    df = df.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    df = picked(docs, doc_id="doc_id", n="n", source="source", cluster="cluster")
+    df = df.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     last = F.greatest(F.ceil(F.col("n") / capacity) - 1, F.lit(0))
     df = df.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
     df = df.withColumn("start", F.col("piece") * capacity).withColumn("length", F.least(F.lit(capacity), F.col("n") - F.col("start")).cast("long"))

@@ -114,8 +114,10 @@ def quality(text):
 
 
 def kept_hashes(text):
-    hashes = {xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles(text, 5)}
-    return "".join(f"{h:016x}" for h in sorted(h for h in hashes if h < 2**64 // 16))
+    """Shingle hashes below a quarter of the range, the 64 least in any case, in hex."""
+    hashes = sorted({xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles(text, 5)})
+    below = [h for h in hashes if h < 2**62]
+    return "".join(f"{h:016x}" for h in (below if len(below) >= 64 else hashes[:64]))
 
 
 def backoff(texts):

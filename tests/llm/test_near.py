@@ -1,14 +1,10 @@
-"""Near copies by shingles, against all pairs; edited copies in the pipeline."""
-
-import importlib
+"""Near copies by shingles, against all pairs, edited copies among them."""
 
 import numpy as np
 from helpers_llm import brute
 
 from pedalflow.llm import near
 
-pipeline = importlib.import_module("corpus_pipeline")
-
 
 def prose(seed, n=200):
     return [f"w{x}" for x in np.random.default_rng(seed).integers(0, 5000, n)]
@@ -39,8 +35,8 @@ def test_edited_copies_leave_one_document(spark, docs_of):
     rows = [(i, " ".join(w)) for i, w in originals.items()] + [(100 + i, edited(w, 60, 140)) for i, w in originals.items()]
     apart = [(brute.fingerprint(rows[i][1]) ^ brute.fingerprint(rows[30 + i][1])).bit_count() for i in range(30)]
     assert sum(d > 4 for d in apart) > 10
-    kept = pipeline.drop_near_duplicates(spark, docs_of(rows), "").collect()
-    assert sorted(r["doc_id"] for r in kept) == list(range(30))
+    found = near.near_duplicates(docs_of(rows)).collect()
+    assert sorted(r["doc_id"] for r in found if r["doc_id"] == r["component_id"]) == list(range(30))
 
 
 def test_components_are_those_of_all_pairs(spark, docs_of, monkeypatch):
