@@ -48,15 +48,16 @@ _RUN = re.compile(r"[A-Za-zÀ-ÿ]{%d,}" % LEAST_LETTERS)
 
 def words_of(doc_id: str, text: str) -> Counter:
     """The words of one text with their counts: runs of letters, of which the hash picks some to lose a letter."""
-    found = Counter(_RUN.findall(text.translate(_LOWER) if not text.isascii() else text.lower()))
+    runs = Counter(_RUN.findall(text.translate(_LOWER) if not text.isascii() else text.lower()))
     start = zlib.crc32(f"{doc_id}:".encode())
-    for run in list(found):
+    found: Counter = Counter()
+    for run, n in runs.items():
         h = zlib.crc32(run.encode(), start)
-        if h % DELETES == 0:
-            n, at = found.pop(run), h % len(run)
-            if len(run) > LEAST_LETTERS:
-                # A shorter run may stand in the text as it is.
-                found[run[:at] + run[at + 1 :]] += n
+        if h % DELETES:
+            found[run] += n
+        elif len(run) > LEAST_LETTERS:
+            at = h % len(run)
+            found[run[:at] + run[at + 1 :]] += n
     return found
 
 

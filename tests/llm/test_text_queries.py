@@ -156,4 +156,4 @@ def test_op6_packing_places_every_word_once(spark, documents):
 
 
 def test_all_are_registered():
-    assert sorted(int(column(q)) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(column(q)) for q in QUERIES) == list(range(1, 14))
