@@ -1,5 +1,8 @@
 """What the text operators share: tables, words and tables written between stages."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,3 +24,18 @@ def words(text: Column) -> Column:
 def picked(docs: DataFrame, *columns: str, **renamed: str) -> DataFrame:
     """Only the named columns, so that no other column of the input can clash with those an operator adds."""
     return docs.select(*[docs[c] for c in columns], *[docs[old].alias(new) for new, old in renamed.items()])
+
+
+#: Rows that a task holds as Python objects, and hands back, at a time.
+PORTION = 500
+
+
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in portions, so that neither side of a task holds thousands of long texts at once.
+
+    What Arrow has kept for later goes back to the system when the batches are done.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, PORTION):
+            yield batch.slice(at, PORTION)
+    pa.default_memory_pool().release_unused()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pedalflow.llm.common import picked
+from pedalflow.llm.common import picked, portions
 from pedalflow.session import stored
 
 LONGEST = 4
@@ -237,7 +237,7 @@ def predicted(docs: DataFrame, model: Model, *more: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
-        for batch in batches:
+        for batch in portions(batches):
             names, scores, fits = own.predict(batch.column("text").to_pylist())
             columns = [*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(fits, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "lang_pred", "score", "fits"])

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pedalflow.llm.common import picked
+from pedalflow.llm.common import picked, portions
 from pedalflow.llm.shingles import SEED, word_bytes
 from pedalflow.llm.simhash import components
 from pedalflow.session import stored
@@ -99,7 +99,7 @@ def _marked(docs: DataFrame, *more: str) -> DataFrame:
     shape = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in ("doc_id", *more))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             split = [word_bytes(t.as_py()) for t in batch.column("text")]
             found = [pa.array(map(len, split), pa.int64()), pa.array(map(node, split), pa.int64())]
             found.append(pa.array([bands(shingle_set(w)) for w in split], pa.list_(pa.int64())))
@@ -113,7 +113,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in portions(batches):
             nodes, fresh = [node(word_bytes(t.as_py())) for t in batch.column("text")], []
             for n in nodes:
                 fresh.append(n not in seen)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pedalflow.llm.common import picked
+from pedalflow.llm.common import picked, portions
 from pedalflow.llm.shingles import shingle_digests, word_bytes
 from pedalflow.session import stored
 
@@ -47,7 +47,7 @@ def fingerprints(docs: DataFrame, *more: str) -> DataFrame:
     shape = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = [fingerprint(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(found, pa.int64())], [*kept, "fp"])
 
