@@ -71,10 +71,6 @@ def presence(texts: list[str]) -> np.ndarray:
     return out.reshape(len(texts), BUCKETS)
 
 
-def _unit(seen: np.ndarray) -> np.ndarray:
-    return seen / np.sqrt(np.maximum(1, seen.sum(axis=1, keepdims=True, dtype=np.float32)))
-
-
 class Model:
     """The labels, the matrix from presence to their scores, and for each label its known places and limit."""
 
