@@ -2,17 +2,19 @@ r"""Personal data: fixed base spans for four kinds, and further spans that boost
 
 Everything is DataFrame expressions within a row: spans are arrays beside the text, so nothing is exploded, shuffled or
 joined, and a long text or a hot source costs its length only. Regular expressions give the matches, the pieces between
-them give the places. The trees are fitted by Spark ML on a bounded sample and written out as one expression.
+them give the places. The trees are fitted by Spark ML on the candidates of all documents and written out as one
+expression; what travels is one row for each distinct vector of counts, with how often it occurs.
 
 High-recall generators propose overlapping spans in looser formats than the base rules take: mail addresses with spelled
 marks, numbers with any usual separator, quoted values assigned to names. Trees see the format and the words before a
 candidate. Labels come from the corpus itself, by evidence the trees do not see: a candidate in a base format is personal
 if it passes that kind's check (Luhn sum, octets, number of digits, a top-level domain of letters), a value is secret if
-its name says so, while the trees see counts of characters, and of a value nothing but the value. The other half of the sample sets, for each kind, the lowest score at which TARGET of those chosen are
-right; candidates outside the base formats that reach it become further spans. Overlapping ones give way to the first.
+its name says so, while the trees see counts of characters, and of a value nothing but the value. Half of the documents
+fit the trees; the other half sets, for each kind, the lowest score at which TARGET of those chosen are right; candidates
+outside the base formats that reach it become further spans. Overlapping ones give way to the first.
 
-Defined cases: a null text is empty and has no spans; repeated rows have equal results; an empty table, or one whose
-sample lacks either label, gets no further spans; nothing but doc_id and text is read.
+Defined cases: a null text is empty and has no spans; repeated rows have equal results; an empty table, or one that
+lacks either label in the half that fits, gets no further spans; nothing but doc_id and text is read.
 """
 
 from pyspark.ml.classification import GBTClassifier
@@ -40,11 +42,12 @@ LOOSE = {
 }
 #: Names whose values are secret; they label the values, of which alone the trees see the format.
 SECRET_NAME = r"(?i)^(?:[a-z0-9_-]*[_-])?(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)\x20?[=:]"
-#: Bounds of the fit: documents in the sample, trees and their depth, share of chosen candidates that must be right.
-SAMPLE = 4000
+#: Bounds of the fit: trees and their depth, share of chosen candidates that must be right.
 TREES = 10
 DEPTH = 3
 TARGET = 0.99
+#: Splits of a feature. Spark looks for them in the square of that many rows before it draws some of the rows.
+BINS = 1024
 #: Scores are told apart by so many digits.
 SCORE_DIGITS = 6
 FEATURES = ("digits", "letters", "length", "groups", "dots", "spaces", "plus", "cue", "edge")
@@ -197,14 +200,13 @@ class Chooser:
 
 
 def fit_chooser(docs: DataFrame) -> Chooser | None:
-    """Fit on the candidates of SAMPLE documents, those with the smallest hashes among the ones that hold a mark.
+    """Fit on the candidates of all documents, half of which set the thresholds.
 
-    Only their numbers travel: documents are chosen by hash, and the texts of those few are read again.
+    Only their numbers travel, and those that agree travel as one row. The outer form of the generator keeps the planner
+    from a filter that would look for all candidates once more.
     """
-    df = picked(docs, doc_id="doc_id", text="text").where(F.col("text").rlike("[0-9@]"))
-    chosen = df.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(SAMPLE).distinct()
-    rows = df.join(F.broadcast(chosen), F.xxhash64("doc_id") == chosen["h"], "left_semi")
-    rows = candidates(rows).select(F.xxhash64("doc_id").alias("h"), F.explode("found").alias("c")).where("c.label is not null")
+    df = picked(docs, doc_id="doc_id", text="text")
+    rows = candidates(df).select(F.xxhash64("doc_id").alias("h"), F.explode_outer("found").alias("c")).where("c.label is not null")
     kinds = list(LOOSE)
     flat = rows.select(
         (F.pmod("h", F.lit(2)) == 0).alias("fitting"),
@@ -213,14 +215,14 @@ def fit_chooser(docs: DataFrame) -> Chooser | None:
         *[F.col(f"c.x.{f}") for f in FEATURES],
         *[(F.col("c.x.kind") == k).cast("double").alias(f"is_{k}") for k in kinds],
     )
-    # A row for each distinct vector and label, weighted by how often it occurs: bounded, and quick to fit on.
-    flat = stored(flat.groupBy(*flat.columns).count().coalesce(1), "candidates")
+    # A row for each distinct vector and label, weighted by how often it occurs: few beside the texts, in any number of tasks.
+    flat = stored(flat.groupBy(*flat.columns).count(), "candidates")
     fitting = flat.where("fitting").withColumn("count", F.col("count").cast("double"))
     if fitting.select("label").distinct().count() < 2:
         return None
     inputs = [*FEATURES, *[f"is_{k}" for k in kinds]]
     ready = VectorAssembler(inputCols=inputs, outputCol="vector").transform(fitting)
-    model = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="count", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(ready)
+    model = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="count", maxIter=TREES, maxDepth=DEPTH, maxBins=BINS, seed=7).fit(ready)
     fields = [*FEATURES, *kinds]
 
     def unfold(node):
@@ -235,7 +237,7 @@ def fit_chooser(docs: DataFrame) -> Chooser | None:
     scored = held.select("kind", F.round(chooser.score(F.col("x")), SCORE_DIGITS).alias("score"), "label", "count")
     tally = scored.groupBy("kind", "score").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("label")).alias("right"))
     by_kind: dict[str, list] = {}
-    for row in tally.collect():  # as many rows as the sample has distinct scores, at most
+    for row in tally.collect():  # as many rows as the trees have distinct scores, at any number of documents
         by_kind.setdefault(row["kind"], []).append((row["score"], row["n"], row["right"]))
     for kind, tallies in by_kind.items():
         n = right = 0.0

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from pedalflow.llm import pii
 
@@ -38,3 +39,21 @@ def test_chosen_and_clean_spans_of_planted_texts(docs_of, chooser):
         start = found[i]["text"].index(h)
         assert [(s["kind"], s["start"], s["end"]) for s in found[i]["spans"]] == [("secret", start, start + len(h))]
     assert not [s for i in range(len(clean)) for s in found[10 + i]["spans"]]
+
+
+def test_every_document_counts(docs_of):
+    """A secret in one document in twenty, among twice as many documents as were once drawn."""
+    hexes = [f"ab{i * 2654435761 % 2**64:016x}{i:08x}" for i in range(8000)]
+    mixed = lambda i: f'token = "{hexes[i]}"' if i % 20 == 0 else f'title = "chapter_{i % 7}" in 1{i % 10} parts'
+    seen = []
+
+    def spied(df, label, keep=pii.stored):
+        seen.append(keep(df, label))
+        return seen[-1]
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pii, "stored", spied)
+        chooser = pii.fit_chooser(docs_of([(i, mixed(i)) for i in range(8000)]))
+    labels = {r["label"]: r["n"] for r in seen[0].groupBy("label").agg(F.sum("count").alias("n")).collect()}
+    assert labels == {1.0: 400, 0.0: 7600}
+    assert chooser is not None and set(chooser.thresholds) == {"secret"}
