@@ -1,11 +1,12 @@
 """BPE encoding and decoding of whole texts with a public vocabulary file.
 
 The file names its normalisation (NFC, white space, lower case), the pattern of words and the merges. Words repeat, so
-frequent ones are compiled once: a minimal acyclic transducer, whose states share suffixes and whose arcs carry numbers
+those that the vocabulary has as a whole, and names as frequent by that, are compiled once: a minimal acyclic transducer,
+whose states share suffixes and whose arcs carry numbers
 that add up to a word's place in a table of ids. It is a few flat arrays; executors map them from a file of their own
 and walk them without building anything. All other words are merged, exactly, by rank.
 
-The lexicon is a speed-up of bounded size: WORDS words, counted over a bounded sample of documents; what it holds changes
+The lexicon is a speed-up that depends on the file alone: no document is read or counted for it, and what it holds changes
 no result. A worker keeps the ids of words it has met from one task to the next, a bounded number of them.
 
 Latin-1 texts are normalised and cut into words here. Others go through the library's own normaliser and word splitter
@@ -22,7 +23,6 @@ import tempfile
 import zlib
 from array import array
 from bisect import bisect_left
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +30,9 @@ import pyarrow as pa
 import regex
 import tokenizers
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pedalflow.llm.common import picked
 
-WORDS = 50_000
-SAMPLE = 2_000
 KEPT = 300_000
 _NEVER = 1 << 62
 
@@ -157,7 +154,7 @@ class Tokenizer:
             spec = json.load(file)
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
-        suffix = model.get("end_of_word_suffix") or ""
+        self.suffix = suffix = model.get("end_of_word_suffix") or ""
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         #: For a pair of ids, as one number, its rank and the id it merges into, as one number too.
         self.merges = {vocab[a] << 32 | vocab[b]: rank << 32 | vocab[a + b] for rank, (a, b) in enumerate(pairs)}
@@ -181,6 +178,19 @@ class Tokenizer:
             return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))]
         return self.word.findall(text.lower())
 
+    def whole_words(self) -> list[str]:
+        """The words that the vocabulary has as one token each, in its order."""
+        raw = {letter: b for b, letter in byte_letters().items()}
+        words = []
+        for token in self.names.values():
+            own = token.removesuffix(self.suffix)
+            if own and token.endswith(self.suffix) and all(c in raw for c in own):
+                try:
+                    words.append(bytes(raw[c] for c in own).decode())
+                except UnicodeDecodeError:  # a part of a letter
+                    continue
+        return words
+
     def merged(self, word: str) -> list[int]:
         """Ids of one word: join the pair of least rank, its first place, until none is left."""
         raw = word.encode("utf-8", "surrogatepass")
@@ -262,32 +272,12 @@ def worker_encoder(path: str, packed: bytes) -> Encoder:
     return _encoders[key]
 
 
-def frequent_words(docs: DataFrame, tokenizer: Tokenizer) -> list[str]:
-    """Up to WORDS words, most frequent first, in the SAMPLE documents with the least hashes."""
-    chosen = docs.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(SAMPLE).distinct()
-    texts = docs.select("text", F.xxhash64("doc_id").alias("d")).join(chosen, F.expr("d = h"), "left_semi").where("text is not null").select("text")
-
-    path = tokenizer.path
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        tokenizer = Tokenizer(path)
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                for _, plain in tokenizer.pieces(text):
-                    counts.update(tokenizer.words(plain))
-        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-
-    counted = texts.mapInArrow(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
-
-
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ``ids`` as little-endian unsigned 32-bit integers in binary, and the ``decoded`` text."""
     df = picked(docs, doc_id="doc_id", text="text")
     tokenizer = Tokenizer(path)
-    lexicon = Lexicon.compile({w: tokenizer.merged(w) for w in frequent_words(df, tokenizer)})
-    shared = df.sparkSession.sparkContext.broadcast(lexicon.packed())  # bounded by WORDS
+    lexicon = Lexicon.compile({w: tokenizer.merged(w) for w in tokenizer.whole_words()})
+    shared = df.sparkSession.sparkContext.broadcast(lexicon.packed())  # bounded by the vocabulary
     kind = df.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,3 +50,17 @@ def test_words_met_before_change_nothing(tokenizer, monkeypatch):
     for _ in range(200):
         text = " ".join(rng.choices(["one", "two", "three", "four", "five", "six", "seven"], k=6))
         assert encoder.encode(text) == of_library(text)
+
+
+def test_lexicon_is_of_the_vocabulary_and_reads_no_document(spark, docs_of, tokenizer):
+    words = tokenizer.whole_words()
+    assert len(words) > 20_000 and {"the", "water", "é"} <= set(words)
+    texts = ["The water of the zyxwvq zyxwvq", "été", None]
+    context = spark.sparkContext
+    context.setJobGroup("encoded", "encoded")
+    try:
+        found = bpe.encoded(docs_of(list(enumerate(texts))), queries.VOCABULARY)
+        assert not context.statusTracker().getJobIdsForGroup("encoded")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert {r["doc_id"]: (r["ids"], r["decoded"]) for r in found.collect()} == {i: of_library(t or "") for i, t in enumerate(texts)}
