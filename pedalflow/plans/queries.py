@@ -10,7 +10,7 @@ from .. import operators as op
 from ..constants import DEFAULT_CITY, DELAY_1M, DELAY_30M, GRAIN_1M, GRAIN_30M, LABEL, TRAILING
 from ..operators.rollup import WEATHER as WEATHER_ROLLUP
 from ..schemas import STATION_INFO, STATION_STATUS, WEATHER
-from ..session import fresh_path, stored
+from ..session import few_state_partitions, fresh_path, stored
 from ..sources import tables as src
 from ..sources.channels import file_channel, read_messages, stream_messages, write_messages
 from ..sources.summary import compact_summary, read_summary, stream_summary, write_summary
@@ -326,13 +326,20 @@ def _run_windows(spark, windows):
     return _run_rows(spark, op.flat_window(windows))
 
 
+def _summary_path(spark, summary, grain):
+    """Run a summary stream into a fresh dataset; its path."""
+    path = fresh_path(spark, "usage-stream")
+    with few_state_partitions(spark):
+        query = start_summary_sink(summary, path, fresh_path(spark, "progress"), grain)
+    finish(query)
+    return path
+
+
 def _run_summary(spark, folder, grain, delay):
     summary = usage_from_messages(
         _status_messages(spark, folder, stream=True), _weather_messages(spark, folder, stream=True), grain, delay
     )
-    path = fresh_path(spark, "usage-stream")
-    finish(start_summary_sink(summary, path, fresh_path(spark, "progress"), grain))
-    return tidy(read_summary(spark, path, grain=grain))
+    return tidy(read_summary(spark, _summary_path(spark, summary, grain), grain=grain))
 
 
 def stream_usage_summary(spark, folder):

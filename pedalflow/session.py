@@ -6,6 +6,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: For clusters whose executors have not reported yet.
+LEAST_STATE_PARTITIONS = 8
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -85,3 +87,12 @@ def state_partitions(spark: SparkSession, count: int):
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def few_state_partitions(spark: SparkSession):
+    """:func:`state_partitions` with one for each core, or fewer if the session's shuffles have fewer.
+
+    The shuffles of a job follow the size of its input; what it costs to open and commit state stores must not.
+    """
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return state_partitions(spark, min(now, max(LEAST_STATE_PARTITIONS, spark.sparkContext.defaultParallelism)))
