@@ -318,7 +318,9 @@ def util_quantile_bins(spark, folder):
 def _run_rows(spark, rows):
     """Run a stream into a fresh table and read the table."""
     path = fresh_path(spark, "stream")
-    finish(start_files(rows, path, fresh_path(spark, "progress")))
+    with few_state_partitions(spark):
+        query = start_files(rows, path, fresh_path(spark, "progress"))
+    finish(query)
     return tidy(spark.read.schema(rows.schema).parquet(path))
 
 
@@ -446,7 +448,9 @@ def stream_open_windows(spark, folder):
     """The windows that a stream still holds after its last batch, read from its checkpoint, with the rows of the state."""
     windows = utilization_from_messages(_status_messages(spark, folder, stream=True), GRAIN_30M, DELAY_30M)
     checkpoint = fresh_path(spark, "progress")
-    finish(start_files(op.flat_window(windows), fresh_path(spark, "stream"), checkpoint))
+    with few_state_partitions(spark):
+        query = start_files(op.flat_window(windows), fresh_path(spark, "stream"), checkpoint)
+    finish(query)
     return tidy(state_keys(spark, checkpoint).select("window.start", "window.end", "city").toDF("window_start", "window_end", "city"))
 
 
