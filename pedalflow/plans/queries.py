@@ -35,8 +35,10 @@ METRO = "metro"
 CUTOFF = "2024-01-25 00:00:00"
 # The folds of the rolling-origin test begin at these moments.
 CUTOFFS = ["2024-01-10 00:00:00", "2024-01-15 00:00:00", "2024-01-20 00:00:00", "2024-01-25 00:00:00"]
-# Files that a feed lands in, in the streams over message files.
+# Stretches of time that a feed lands in, one after the other, in the streams over message files.
 SLICES = 4
+# A stretch has so many messages a file, more or less, so that tasks share the writing and reading of a large one.
+FILE_ROWS = 250_000
 # Batches of the summary that is compacted as it is written.
 COMPACTED = 5
 # How far apart in time the rows of a summary may reach the stream that joins it with itself.
@@ -352,34 +354,41 @@ def stream_usage_summary_1m(spark, folder):
     return _run_summary(spark, folder, GRAIN_1M, DELAY_1M)
 
 
-def _landed_in_order(rows, encode, channel, late, resent):
-    """Publish rows as SLICES files of equal stretches of time, one after the other; ``late`` sends the first again.
+def _landed_in_order(spark, rows, encode, label, late, resent=False):
+    """Publish rows in SLICES equal stretches of time, one after the other; ``late`` sends the first again.
 
-    With ``resent`` each message is in its file twice.
+    The channel that comes back hands out a stretch in every micro-batch: each is in as many files, some of them empty
+    where it has few rows. With ``resent`` each message is in its stretch twice.
     """
     at = F.unix_seconds("event_time")
-    first, last = rows.agg(F.min(at), F.max(at)).first()
+    first, last, count = rows.agg(F.min(at), F.max(at), F.count("*")).first()
+    files = max(1, -(-count * (2 if resent else 1) // (SLICES * FILE_ROWS)))
+    channel = file_channel(fresh_path(spark, label), maxFilesPerTrigger=str(files))
     slice_of = F.floor((at - (first or 0)) * SLICES / ((last or 0) - (first or 0) + 1))
+    landed = 0
     for k in [*range(SLICES), *([0] if late else [])]:
         sent = rows.where(slice_of == k)
-        write_messages(encode(sent.unionByName(sent) if resent else sent).coalesce(1), channel)
+        sent = sent.unionByName(sent) if resent else sent
+        # Round and round, so that a moment with many rows is no larger file.
+        write_messages(encode(sent.coalesce(1) if files == 1 else sent.repartition(files)), channel)
+        landed += files
+        if files > 1:
+            for _ in range(landed - len(read_messages(spark, channel).inputFiles())):
+                write_messages(encode(rows.limit(0)).coalesce(1), channel)  # a file without rows
+    return channel
 
 
 def _usage_by_files(spark, folder, late=False, resent=False):
-    """The path of a summary streamed from message files, a file of each feed in every micro-batch."""
+    """The path of a summary streamed from message files, a stretch of time of each feed in every micro-batch."""
     feeds = {
         "status": (src.status(spark, folder), lambda r: op.encode_messages(src.status_records(r), "station_id")),
         "weather": (src.weather(spark, folder), lambda r: op.encode_messages(src.weather_records(r), "city")),
     }
     channels = []
     for name, (rows, encode) in feeds.items():
-        channels.append(file_channel(fresh_path(spark, f"{name}-messages"), maxFilesPerTrigger="1"))
-        _landed_in_order(stored(rows, name), encode, channels[-1], late, resent)
+        channels.append(_landed_in_order(spark, stored(rows, name), encode, f"{name}-messages", late, resent))
     status, weather = (stream_messages(spark, channel) for channel in channels)
-    path = fresh_path(spark, "usage-stream")
-    summary = usage_from_messages(status, weather, GRAIN_30M, DELAY_30M, resent=resent)
-    finish(start_summary_sink(summary, path, fresh_path(spark, "progress"), GRAIN_30M))
-    return path
+    return _summary_path(spark, usage_from_messages(status, weather, GRAIN_30M, DELAY_30M, resent=resent), GRAIN_30M)
 
 
 def stream_usage_from_files(spark, folder):
@@ -417,14 +426,13 @@ def stream_intake_counts(spark, folder):
 
     Accepted, rejected and late messages add up to those sent.
     """
-    channel = file_channel(fresh_path(spark, "status-messages"), maxFilesPerTrigger="1")
 
     def encode(rows):
         messages = op.encode_messages(src.status_records(rows), "station_id")
         broken = F.get_json_object(F.col("value").cast("string"), "$.event_id").cast("long") % 50 == 7
         return messages.withColumn("value", F.when(broken, F.lit('{"station_id": ').cast("binary")).otherwise(F.col("value")))
 
-    _landed_in_order(stored(src.status(spark, folder), "status"), encode, channel, late=True, resent=False)
+    channel = _landed_in_order(spark, stored(src.status(spark, folder), "status"), encode, "status-messages", late=True)
     path = fresh_path(spark, "intake")
     finish(start_intake_job(spark, channel, STATION_STATUS, "station_id", path, fresh_path(spark, "progress")))
     return read_intake(spark, path, STATION_STATUS).groupBy("outcome").agg(F.count("*").alias("n"))
