@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from pedalflow.llm import pii
 
 
@@ -41,7 +42,8 @@ def test_chosen_and_clean_spans_of_planted_texts(docs_of, chooser):
     assert not [s for i in range(len(clean)) for s in found[10 + i]["spans"]]
 
 
-def test_every_document_counts(docs_of):
+@pytest.mark.parametrize("fitted_by", [lambda spark, docs: pii.fit_chooser(docs), lambda spark, docs: corpus_pipeline.redact_personal_data(spark, docs, "")])
+def test_every_document_counts(spark, docs_of, fitted_by):
     """A secret in one document in twenty, among twice as many documents as were once drawn."""
     hexes = [f"ab{i * 2654435761 % 2**64:016x}{i:08x}" for i in range(8000)]
     mixed = lambda i: f'token = "{hexes[i]}"' if i % 20 == 0 else f'title = "chapter_{i % 7}" in 1{i % 10} parts'
@@ -53,7 +55,6 @@ def test_every_document_counts(docs_of):
 
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(pii, "stored", spied)
-        chooser = pii.fit_chooser(docs_of([(i, mixed(i)) for i in range(8000)]))
+        fitted_by(spark, docs_of([(i, mixed(i)) for i in range(8000)]))
     labels = {r["label"]: r["n"] for r in seen[0].groupBy("label").agg(F.sum("count").alias("n")).collect()}
     assert labels == {1.0: 400, 0.0: 7600}
-    assert chooser is not None and set(chooser.thresholds) == {"secret"}
