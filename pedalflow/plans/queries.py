@@ -3,6 +3,8 @@
 Each query takes a session and the folder of the tables and reads those tables whole.
 """
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -360,17 +362,22 @@ def _landed_in_order(spark, rows, encode, label, late, resent=False):
     The channel that comes back hands out a stretch in every micro-batch: each is in as many files, some of them empty
     where it has few rows. With ``resent`` each message is in its stretch twice.
     """
-    at = F.unix_seconds("event_time")
+    at, copies = F.unix_seconds("event_time"), 2 if resent else 1
     first, last, count = rows.agg(F.min(at), F.max(at), F.count("*")).first()
-    files = max(1, -(-count * (2 if resent else 1) // (SLICES * FILE_ROWS)))
+    files = max(1, -(-count * copies // (SLICES * FILE_ROWS)))
+    if files > 1:  # so many for each core, or some cores would wait for the last files
+        cores = spark.sparkContext.defaultParallelism
+        files = -(-files // cores) * cores
     channel = file_channel(fresh_path(spark, label), maxFilesPerTrigger=str(files))
     slice_of = F.floor((at - (first or 0)) * SLICES / ((last or 0) - (first or 0) + 1))
     landed = 0
     for k in [*range(SLICES), *([0] if late else [])]:
         sent = rows.where(slice_of == k)
-        sent = sent.unionByName(sent) if resent else sent
-        # Round and round, so that a moment with many rows is no larger file.
-        write_messages(encode(sent.coalesce(1) if files == 1 else sent.repartition(files)), channel)
+        # By a running number: a moment with many rows is no larger file, and rows need no sort, as dealt in turn they do.
+        sent = sent.coalesce(1) if files == 1 else sent.withColumn("_n", F.monotonically_increasing_id()).repartition(files, "_n").drop("_n")
+        # A message is encoded and sent over the network once, however often it is written.
+        messages = encode(sent).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("_copy")
+        write_messages(messages, channel)
         landed += files
         if files > 1:
             for _ in range(landed - len(read_messages(spark, channel).inputFiles())):
@@ -384,10 +391,14 @@ def _usage_by_files(spark, folder, late=False, resent=False):
         "status": (src.status(spark, folder), lambda r: op.encode_messages(src.status_records(r), "station_id")),
         "weather": (src.weather(spark, folder), lambda r: op.encode_messages(src.weather_records(r), "city")),
     }
-    channels = []
-    for name, (rows, encode) in feeds.items():
-        channels.append(_landed_in_order(spark, stored(rows, name), encode, f"{name}-messages", late, resent))
-    status, weather = (stream_messages(spark, channel) for channel in channels)
+
+    def landed(name):
+        rows, encode = feeds[name]
+        return _landed_in_order(spark, stored(rows, name), encode, f"{name}-messages", late, resent)
+
+    # Side by side: cores that the last tasks of one feed leave idle work for the other.
+    with ThreadPoolExecutor(len(feeds)) as pool:
+        status, weather = (stream_messages(spark, channel) for channel in pool.map(landed, feeds))
     return _summary_path(spark, usage_from_messages(status, weather, GRAIN_30M, DELAY_30M, resent=resent), GRAIN_30M)
 
 

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from pedalflow.plans import queries
 from pedalflow.session import state_partitions
-from pedalflow.sources.channels import stream_messages
+from pedalflow.sources.channels import read_messages, stream_messages
 from pedalflow.streaming.jobs import finish
 from pedalflow.streaming.state import state_stores
 
+from helpers import plan_of
+
 
 def _many_events(spark, folder, rows):
     """Tables of ``rows`` events in ten hours, of which every fifth is a view, of users in two nations."""
@@ -48,6 +50,27 @@ def test_a_stretch_of_time_is_as_many_files_in_one_batch(spark, scratch, monkeyp
     assert [batches[k] for k in sorted(batches)] == [stretch(k) for k in (0, 1, 2, 3, 0)]
 
 
+@pytest.mark.parametrize("rows", [2401, 3001])
+def test_a_resent_message_is_read_and_encoded_once(spark, scratch, monkeypatch, rows):
+    """A stretch has as many files for each core, and its messages go there without a second reading or a sort."""
+    monkeypatch.setattr(queries, "FILE_ROWS", 100)
+    frame = spark.range(rows).select(F.timestamp_seconds(1_704_067_200 + F.col("id")).alias("event_time"), "id")
+    frame.write.parquet(f"{scratch}/rows")
+    frame, plans = spark.read.parquet(f"{scratch}/rows"), []
+
+    def spied(messages, channel, write=queries.write_messages):
+        plans.append(plan_of(messages))
+        write(messages, channel)
+
+    monkeypatch.setattr(queries, "write_messages", spied)
+    encode = lambda r: r.select(F.lit(b"k").alias("key"), F.col("id").cast("string").cast("binary").alias("value"))
+    channel = queries._landed_in_order(spark, frame, encode, "messages", late=False, resent=True)
+    assert int(channel.options["maxFilesPerTrigger"]) % spark.sparkContext.defaultParallelism == 0
+    assert all(p.count("FileScan") == 1 and "RoundRobinPartitioning" not in p for p in plans[: queries.SLICES])
+    sent = read_messages(spark, channel).groupBy("value").count()
+    assert sent.count() == rows and sent.where("count != 2").count() == 0
+
+
 @pytest.mark.parametrize("name", ["stream_usage_summary", "stream_usage_rollup", "stream_dedup_usage"])
 def test_state_does_not_follow_the_shuffles_of_a_large_input(spark, scratch, monkeypatch, name):
     """Shuffles grow with the input; state stores, which cost time in each batch, are as many as there are cores."""
