@@ -9,14 +9,17 @@ High-recall generators propose overlapping spans in looser formats than the base
 marks, numbers with any usual separator, quoted values assigned to names. Trees see the format and the words before a
 candidate. Labels come from the corpus itself, by evidence the trees do not see: a candidate in a base format is personal
 if it passes that kind's check (Luhn sum, octets, number of digits, a top-level domain of letters), a value is secret if
-its name says so, while the trees see counts of characters, and of a value nothing but the value. Half of the documents
-fit the trees; the other half sets, for each kind, the lowest score at which TARGET of those chosen are right; candidates
-outside the base formats that reach it become further spans. Overlapping ones give way to the first.
+its name says so, while the trees see counts of characters, and of a value nothing but the value. Each half of the
+documents fits trees and is scored by the trees of the other half; the scores of all of them set, for each kind, the
+lowest score at which TARGET of those chosen are right; candidates outside the base formats that reach it, by the mean
+over the trees of both halves, become further spans. Overlapping ones give way to the first.
 
-Defined cases: a null text is empty and has no spans; repeated rows have equal results; an empty table, or one that
-lacks either label in the half that fits, gets no further spans; nothing but doc_id and text is read.
+Defined cases: a null text is empty and has no spans; repeated rows have equal results; a half that lacks either label
+fits no trees, and an empty table, or one with two such halves, gets no further spans; nothing but doc_id and text is read.
 """
 
+import math
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -46,7 +49,7 @@ SECRET_NAME = r"(?i)^(?:[a-z0-9_-]*[_-])?(?:token|secret|password|passwd|pwd|api
 TREES = 10
 DEPTH = 3
 TARGET = 0.99
-#: Splits of a feature. Spark looks for them in the square of that many rows before it draws some of the rows.
+#: Splits of a feature, at least.
 BINS = 1024
 #: Scores are told apart by so many digits.
 SCORE_DIGITS = 6
@@ -199,46 +202,59 @@ class Chooser:
         return F.round(self.score(x), SCORE_DIGITS) >= limit
 
 
+def bins(n: int) -> int:
+    """Splits of a feature for ``n`` rows: Spark looks for them in no more rows than their square, and else draws some."""
+    return max(BINS, math.isqrt(max(n - 1, 0)) + 1)
+
+
+def _boosted(rows: DataFrame) -> tuple[list, list[float]] | None:
+    """Trees and their weights, fitted on rows of weighted feature vectors; none if they lack either label."""
+    n, labels = rows.agg(F.count("*"), F.count_distinct("label")).first()
+    if labels < 2:
+        return None
+    inputs = [*FEATURES, *[f"is_{k}" for k in LOOSE]]
+    ready = VectorAssembler(inputCols=inputs, outputCol="vector").transform(rows.withColumn("count", F.col("count").cast("double")))
+    model = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="count", maxIter=TREES, maxDepth=DEPTH, maxBins=bins(n), seed=7).fit(ready)
+    fields = [*FEATURES, *LOOSE]
+
+    def unfold(node):
+        if node.subtreeDepth() == 0:
+            return float(node.prediction())
+        split = node.split()
+        return fields[split.featureIndex()], float(split.threshold()), unfold(node.leftChild()), unfold(node.rightChild())
+
+    return [unfold(tree._java_obj.rootNode()) for tree in model.trees], [float(w) for w in model.treeWeights]
+
+
 def fit_chooser(docs: DataFrame) -> Chooser | None:
-    """Fit on the candidates of all documents, half of which set the thresholds.
+    """Fit on the candidates of all documents, each of which counts in trees and in thresholds.
 
-    Only their numbers travel, and those that agree travel as one row. The outer form of the generator keeps the planner
-    from a filter that would look for all candidates once more.
+    Each half of the documents fits trees and is scored by those of the other half; all these scores set the thresholds.
+    A candidate's score is the mean over both. Only numbers travel, and those that agree travel as one row. The outer form
+    of the generator keeps the planner from a filter that would look for all candidates once more.
     """
     df = picked(docs, doc_id="doc_id", text="text")
     rows = candidates(df).select(F.xxhash64("doc_id").alias("h"), F.explode_outer("found").alias("c")).where("c.label is not null")
-    kinds = list(LOOSE)
     flat = rows.select(
-        (F.pmod("h", F.lit(2)) == 0).alias("fitting"),
+        F.pmod("h", F.lit(2)).alias("half"),
         F.col("c.label").alias("label"),
         F.col("c.x.kind").alias("kind"),
         *[F.col(f"c.x.{f}") for f in FEATURES],
-        *[(F.col("c.x.kind") == k).cast("double").alias(f"is_{k}") for k in kinds],
+        *[(F.col("c.x.kind") == k).cast("double").alias(f"is_{k}") for k in LOOSE],
     )
     # A row for each distinct vector and label, weighted by how often it occurs: few beside the texts, in any number of tasks.
     flat = stored(flat.groupBy(*flat.columns).count(), "candidates")
-    fitting = flat.where("fitting").withColumn("count", F.col("count").cast("double"))
-    if fitting.select("label").distinct().count() < 2:
-        return None
-    inputs = [*FEATURES, *[f"is_{k}" for k in kinds]]
-    ready = VectorAssembler(inputCols=inputs, outputCol="vector").transform(fitting)
-    model = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="count", maxIter=TREES, maxDepth=DEPTH, maxBins=BINS, seed=7).fit(ready)
-    fields = [*FEATURES, *kinds]
-
-    def unfold(node):
-        if node.subtreeDepth() == 0:
-            return float(node.prediction())
-        split = node.split()
-        return fields[split.featureIndex()], float(split.threshold()), unfold(node.leftChild()), unfold(node.rightChild())
-
-    trees = [unfold(tree._java_obj.rootNode()) for tree in model.trees]
-    chooser = Chooser(trees, [float(w) for w in model.treeWeights], {})
-    held = flat.where("not fitting").withColumn("x", F.struct("kind", *FEATURES))
-    scored = held.select("kind", F.round(chooser.score(F.col("x")), SCORE_DIGITS).alias("score"), "label", "count")
-    tally = scored.groupBy("kind", "score").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("label")).alias("right"))
+    fitted = {half: _boosted(flat.where(F.col("half") == half)) for half in (0, 1)}
+    fitted = {half: model for half, model in fitted.items() if model}
     by_kind: dict[str, list] = {}
-    for row in tally.collect():  # as many rows as the trees have distinct scores, at any number of documents
-        by_kind.setdefault(row["kind"], []).append((row["score"], row["n"], row["right"]))
+    for half, model in fitted.items():
+        held = flat.where(F.col("half") != half).withColumn("x", F.struct("kind", *FEATURES))
+        scored = held.select("kind", F.round(Chooser(*model, {}).score(F.col("x")), SCORE_DIGITS).alias("score"), "label", "count")
+        tally = scored.groupBy("kind", "score").agg(F.sum("count").alias("n"), F.sum(F.col("count") * F.col("label")).alias("right"))
+        for row in tally.collect():  # as many rows as the trees have distinct scores, at any number of documents
+            by_kind.setdefault(row["kind"], []).append((row["score"], row["n"], row["right"]))
+    trees = [tree for model in fitted.values() for tree in model[0]]
+    chooser = Chooser(trees, [weight / len(fitted) for model in fitted.values() for weight in model[1]], {})
     for kind, tallies in by_kind.items():
         n = right = 0.0
         for score, more, good in sorted(tallies, reverse=True):

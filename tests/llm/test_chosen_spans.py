@@ -58,3 +58,49 @@ def test_every_document_counts(spark, docs_of, fitted_by):
         fitted_by(spark, docs_of([(i, mixed(i)) for i in range(8000)]))
     labels = {r["label"]: r["n"] for r in seen[0].groupBy("label").agg(F.sum("count").alias("n")).collect()}
     assert labels == {1.0: 400, 0.0: 7600}
+
+
+def _of_half(spark, half, n):
+    """The first ids whose documents belong to a half."""
+    return [r["id"] for r in spark.range(20 * n).where(F.pmod(F.xxhash64("id"), F.lit(2)) == half).limit(n).collect()]
+
+
+def _planted(i, secret):
+    return f'token = "ab{i * 2654435761 % 2**64:016x}{i:022x}"' if secret else f'title = "chapter_{i % 7}" in 1{i % 10} parts'
+
+
+@pytest.mark.parametrize("fits", [0, 1])
+def test_trees_come_from_either_half(spark, docs_of, fits):
+    """One half has both labels, the other has secrets alone: it cannot fit trees, and sets the thresholds of the other's."""
+    both, alone = _of_half(spark, fits, 60), _of_half(spark, 1 - fits, 60)
+    docs = docs_of([(i, _planted(i, k % 2)) for k, i in enumerate(both)] + [(i, _planted(i, True)) for i in alone])
+    found = pii.find_personal(docs, pii.fit_chooser(docs)).collect()
+    secret = {*both[1::2], *alone}
+    assert {r["doc_id"] for r in found if [s for s in r["spans"] if s["kind"] == "secret"]} == secret
+
+
+@pytest.mark.parametrize("fitted_by", [lambda spark, docs: pii.fit_chooser(docs), lambda spark, docs: corpus_pipeline.redact_personal_data(spark, docs, "")])
+def test_trees_and_thresholds_take_all_documents(spark, docs_of, monkeypatch, fitted_by):
+    """The rows that fit trees, and those whose scores set thresholds, are each all of the documents."""
+    fitted, scored = [], []
+
+    class Spied(pii.GBTClassifier):
+        def fit(self, rows):
+            fitted.append(rows.agg(F.sum("count")).first()[0])
+            return super().fit(rows)
+
+    def spied(self, x, score=pii.Chooser.score):
+        scored.append(self.trees)
+        return score(self, x)
+
+    monkeypatch.setattr(pii, "GBTClassifier", Spied)
+    monkeypatch.setattr(pii.Chooser, "score", spied)
+    fitted_by(spark, docs_of([(i, _planted(i, i % 4 == 0)) for i in range(400)]))
+    assert len(fitted) == 2 and sum(fitted) == 400 and min(fitted) > 0
+    assert len(scored) >= 2 and len(scored[0]) == len(scored[1]) == pii.TREES
+
+
+def test_no_row_is_drawn_for_splits():
+    """Spark draws rows if there are more than the square of the splits."""
+    assert pii.bins(0) == pii.bins(pii.BINS**2) == pii.BINS
+    assert all((pii.bins(n) - 1) ** 2 < n <= pii.bins(n) ** 2 for n in (pii.BINS**2 + 1, 10**7, 10**9 + 7))
